@@ -126,4 +126,6 @@ def _share_of_null(key: Column, fact: DataFrame, alias: str) -> Column:
 
 
 def _words(texts: Iterable[str]) -> set[str]:
-    return {w.lower() for text in texts for w in re.findall(r"[A-Za-z_]\w*", text)}
+    """Aliases, and names that stand without one; ``b`` of ``a.b`` belongs to ``a``."""
+    return {w.lower() for text in texts
+            for w in re.findall(r"(?<![\w.])([A-Za-z_]\w*)", re.sub(r"\s*\.\s*", ".", text))}

@@ -123,7 +123,8 @@ def apply_measures(df: DataFrame, rules: Sequence[Rule], keep: Sequence[str | Co
 
 def _expression(rule: Rule) -> Column:
     try:
-        return F.expr(f"({rule.logic}\n)").alias(rule.name)
+        F.expr(rule.logic)  # alone, a list of expressions is refused; in brackets it is a struct
+        return F.expr(f"({rule.logic}\n)").alias(rule.name)  # in brackets, an alias is refused
     except ParseException as problem:
         raise RuleError(f"rule {rule.name}: not one expression: {problem.getMessage()}") from problem
 
