@@ -375,7 +375,7 @@ def test_run_metrics_and_rating(spark):
         "EXCELLENT", "ACCEPTABLE", "NEEDS_OPTIMIZATION", "NEEDS_OPTIMIZATION"]
 
 
-@pytest.mark.parametrize("mode", ["lazy", "persist", "checkpoint"])
+@pytest.mark.parametrize("mode", ["lazy", "persist", "checkpoint", "table"])
 def test_stages_leave_nothing_behind(spark, mode):
     df = spark.range(10).withColumn("x", F.col("id") * 2)
     with stage(df, "stage_view", mode) as kept:

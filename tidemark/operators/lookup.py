@@ -103,8 +103,9 @@ def used_lookups(lookups: Sequence[Lookup], texts: Iterable[str]) -> list[Lookup
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """Whether the table has at most ``max_rows`` rows; counts no further than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether the table has at most ``max_rows`` rows. A full count on purpose: it
+    adds up per task and reads no column, where a limit would send its rows to one."""
+    return df.count() <= max_rows
 
 
 def broadcast_if_fits(df: DataFrame, max_rows: int) -> DataFrame:

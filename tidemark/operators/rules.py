@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterable, Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException, ParseException
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,6 +85,8 @@ def check_rules(rules: Sequence[Rule], strict_names: Sequence[str] | None = None
         if not (rule.logic or "").strip():
             raise RuleError(f"rule {rule.name}: no logic")
         bare = re.sub(r"'(?:[^'\\]|\\.|'')*'|`[^`]*`|\"[^\"]*\"", " ", rule.logic).lower()
+        if not _is_one_expression(bare):
+            raise RuleError(f"rule {rule.name}: not one expression")
         if re.search(r"\bselect\b", bare):
             raise RuleError(f"rule {rule.name}: subqueries are not allowed")
         if re.search(r"\bover\s*[(\w]", bare):
@@ -108,7 +110,8 @@ def apply_measures(df: DataFrame, rules: Sequence[Rule], keep: Sequence[str | Co
     aggregates, is reported by name.
     """
     check_rules(rules, strict_names)
-    measures = [_expression(rule) for rule in rules]
+    # In brackets, text that brings its own alias or a further clause is refused.
+    measures = [F.expr(f"({rule.logic}\n)").alias(rule.name) for rule in rules]
     try:
         return df.select(*keep, *measures)
     except AnalysisException as problem:
@@ -121,12 +124,14 @@ def apply_measures(df: DataFrame, rules: Sequence[Rule], keep: Sequence[str | Co
         raise problem
 
 
-def _expression(rule: Rule) -> Column:
-    try:
-        F.expr(rule.logic)  # alone, a list of expressions is refused; in brackets it is a struct
-        return F.expr(f"({rule.logic}\n)").alias(rule.name)  # in brackets, an alias is refused
-    except ParseException as problem:
-        raise RuleError(f"rule {rule.name}: not one expression: {problem.getMessage()}") from problem
+def _is_one_expression(bare: str) -> bool:
+    # Bracketed, a list of expressions would pass as a struct.
+    depth = 0
+    for sign in re.findall(r"[(),]", bare):
+        depth += (sign == "(") - (sign == ")")
+        if depth < 0 or (sign == "," and depth == 0):
+            return False
+    return depth == 0
 
 
 def _quoted(value: str) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from tidemark.session import shared_dir
+from tidemark.session import scratch, shared_dir
 
 
 class Stage:
@@ -35,7 +35,8 @@ def stage(df: DataFrame, name: str | None = None, mode: str = "lazy") -> Stage:
 
     lazy: nothing is stored. persist: memory and disk of the executors; lost
     parts are computed again. checkpoint: written to the shared checkpoint
-    folder, so that an executor's loss costs nothing upstream.
+    folder, so that an executor's loss costs nothing upstream. table: the same as
+    a parquet table, of which later steps read only the columns they need.
     """
     if mode == "persist":
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -44,6 +45,10 @@ def stage(df: DataFrame, name: str | None = None, mode: str = "lazy") -> Stage:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(shared_dir(df.sparkSession))
         df = df.checkpoint(eager=True)
+    elif mode == "table":
+        path = scratch(df.sparkSession, name or "stage")
+        df.write.parquet(path)
+        df = df.sparkSession.read.parquet(path)
     elif mode != "lazy":
         raise ValueError(f"unknown mode {mode!r}")
     if name:

@@ -124,7 +124,7 @@ def stored_lines(rows: DataFrame, null_hash: bool = False) -> DataFrame:
 
 def staged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hashed lines written out once, since run and snapshot both read them."""
-    return stage(hashed_lines(spark, sf_dir), mode="checkpoint").df
+    return stage(hashed_lines(spark, sf_dir), mode="table").df
 
 
 # --- flagship ---------------------------------------------------------------------------------
@@ -180,7 +180,7 @@ def sales_prior(rows: DataFrame) -> DataFrame:
 
 
 def flagship_measures_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stage(sales_rows(spark, sf_dir), mode="checkpoint").df
+    rows = stage(sales_rows(spark, sf_dir), mode="table").df
     return delta_of(rows, sales_prior(rows), SALES.keys, BATCH).select(*SALES_OUTPUT)
 
 
@@ -255,7 +255,7 @@ def claim_rows(spark: SparkSession, sf_dir: str, bits: int = 256) -> DataFrame:
 
 
 def claim_measures_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stage(claim_rows(spark, sf_dir), mode="checkpoint").df
+    rows = stage(claim_rows(spark, sf_dir), mode="table").df
     delta = delta_of(rows, claim_prior(rows), claims.KEYS, BATCH)
     return delta.select(*claims.OUTPUT_COLUMNS)
 
@@ -438,7 +438,7 @@ def cdc_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cdc_delta_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = staged_lines(spark, sf_dir)
-    recent = stage(rows.where("shipped >= TIMESTAMP_NTZ'2000-06-01'"), mode="checkpoint").df
+    recent = stage(rows.where("shipped >= TIMESTAMP_NTZ'2000-06-01'"), mode="table").df
     prior = prune_prior(prior_snapshot(stored_lines(rows), ["k", "rev"]), recent, ["k", "rev"])
     return stamp(only_changes(classify(recent, prior, ["k", "rev"])), BATCH)
 
