@@ -180,6 +180,26 @@ def test_hot_lookup_key_is_split_at_run_time(spark, conf):
     kept.unpersist()
 
 
+@pytest.mark.parametrize("strategy", ["or", "union"])
+def test_hot_key_of_the_change_window_is_split(spark, conf, strategy):
+    conf(spark_sql_autoBroadcastJoinThreshold=-1, spark_sql_shuffle_partitions=8,
+         spark_sql_adaptive_autoBroadcastJoinThreshold=-1,
+         spark_sql_adaptive_skewJoin_skewedPartitionThresholdInBytes="20KB",
+         spark_sql_adaptive_skewJoin_skewedPartitionFactor=2,
+         spark_sql_adaptive_advisoryPartitionSizeInBytes="10KB",
+         spark_sql_adaptive_coalescePartitions_parallelismFirst="false")
+    late = F.lit("2024-02-01").cast("timestamp_ntz")
+    early = F.lit("2020-01-01").cast("timestamp_ntz")
+    fact = spark.range(0, 60_000, 1, 8).select(
+        "id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), early.alias("ts"))
+    dim = spark.range(0, 60_000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), late.alias("ts"))
+    found = changed_since(fact, dim, "k", "ts", "ts", "2024-01-01", strategy).persist()
+    assert found.count() == 60_000
+    assert "skew=true" in plan_of(found)
+    found.unpersist()
+
+
 # --- rules ------------------------------------------------------------------------------------
 
 SCENARIOS = [("Payment", "Indemnity", 1000, 1000, 0), ("Incurred", "Medical", 2000, 0, 2000),
