@@ -20,12 +20,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFrame:
     """The rows as a parquet table below ``spark.checkpoint.dir``: computed once,
-    and read again from the shared folder when an executor is lost."""
+    and read again from the shared folder when an executor is lost. ``batch_rows``
+    bounds the Arrow batches of plans that hand whole texts to Python."""
     spark = df.sparkSession
     path = scratch(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        if batch_rows:
+            spark.conf.set(name, str(batch_rows))
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(name, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
