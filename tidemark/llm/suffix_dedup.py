@@ -250,8 +250,14 @@ def _suffix_task(length: int):
         g, d, k, s = (x[order] for x in (group, doc[which], h[which], start))
         head = np.concatenate([[True], g[1:] != g[:-1]])
         lead = np.flatnonzero(head)[np.cumsum(head) - 1]
-        later = ~head & ~((d == d[lead]) & (k == k[lead]) & (s == s[lead]))
-        yield _runs(0, d[later], k[later], s[later], np.ones(int(later.sum()), np.int64), np.zeros(int(later.sum()), np.int64))
+        mark = np.zeros(len(order), bool)
+        mark[order] = ~head & ~((d == d[lead]) & (k == k[lead]) & (s == s[lead]))
+        # Strings that follow each other in a phrase go out as one run.
+        open_ = mark.copy()
+        open_[1:] &= ~mark[:-1] | (which[1:] != which[:-1])
+        head = np.flatnonzero(open_)
+        many = np.add.reduceat(mark.astype(np.int64), head) if len(head) else head
+        yield _runs(0, doc[which[head]], h[which[head]], start[head], many, np.zeros(len(head), np.int64))
 
     return run
 
