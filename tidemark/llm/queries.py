@@ -7,12 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bin_packing import pack_documents
 from tidemark.llm.common import table
+from tidemark.llm.fuzzy_lines import fuzzy_lines
 from tidemark.llm.grace_dedup import exact_groups
 from tidemark.llm.hash_tree_sharding import shard_rows
+from tidemark.llm.ngram_join import jaccard_groups
 from tidemark.llm.oracles import ORACLES
+from tidemark.llm.page_diff import extract_main
 from tidemark.llm.poisson_mixing import mix_sources
 from tidemark.llm.preference_chat import neighbours, preference_pairs
 from tidemark.llm.quality_rules import quality_report
+from tidemark.llm.suffix_dedup import repeated_bytes
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -20,6 +24,14 @@ __all__ = ["ORACLES", "QUERIES"]
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes(table(spark, sf_dir, "documents"))
+
+
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
@@ -36,6 +48,10 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main(table(spark, sf_dir, "pages"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents")).drop("row")
 
@@ -44,6 +60,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op3_best_fit_packing, op4_sharding, op5_chat_formatting, op6_source_mixing, op8_exact_dedup,
-    op9_quality_rules)}
+    op1_suffix_array_dedup, op2_ngram_jaccard_join, op3_best_fit_packing, op4_sharding, op5_chat_formatting,
+    op6_source_mixing, op7_html_extraction, op8_exact_dedup, op9_quality_rules, op10_line_dedup)}
