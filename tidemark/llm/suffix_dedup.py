@@ -25,10 +25,10 @@ from tidemark.llm.ngram_join import _BYTES, _mixed, _power
 
 LENGTH, ANCHOR = 100, 32
 #: Phrases that a task of the parse sorts, and bytes of dictionary in a suffix array.
-BUCKET_PHRASES, BUCKET_BYTES = 1_000_000, 3 << 20
+BUCKET_PHRASES, BUCKET_BYTES = 300_000, 2 << 20
 #: Distinct phrases of one trigger above which they are cut into single strings and dealt by content.
 HOT_PHRASES = 20_000
-_CHUNK_BYTES, _FLUSH, _BATCH_ROWS = 2 << 20, 1 << 20, 512
+_CHUNK_BYTES, _FLUSH, _BATCH_ROWS = 1 << 20, 1 << 18, 256
 _SELF = 128  # mark in the count of a phrase: a string may occur in it twice
 
 
