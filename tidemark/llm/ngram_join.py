@@ -15,9 +15,11 @@ from tidemark.llm.sketches import BITS, bucket_counts, levels
 
 WORDS, PERCENT = 5, 75
 #: Prefix n-grams that one task matches, and texts turned into n-grams at a time.
-BUCKET_POSTINGS = 1_500_000
-_CHUNK_BYTES = 2 << 20
-_BATCH_ROWS = 512
+BUCKET_POSTINGS = 400_000
+_CHUNK_BYTES = 1 << 20
+_BATCH_ROWS = 256
+#: Prefix n-grams a task holds while it deals them out or matches them.
+_HELD = 1 << 19
 
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _WORD = np.ones(256, np.int8)
@@ -183,7 +185,7 @@ def _scatter(buckets: int):
                 for sig, n, data in zip(*[batch.column(c).to_pylist() for c in ("sig", "n", "prefix")], strict=True):
                     held.append((sig, n, np.frombuffer(data, np.uint64)))
                     size += len(held[-1][2])
-                    if size >= 1 << 21:
+                    if size >= _HELD:
                         yield from flush(held)
                         held, size = [], 0
             if held:
@@ -231,7 +233,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in zip(*[batch.column(c).to_pylist() for c in names], strict=True):
             held.append([np.frombuffer(x, k) for x, k in zip(row, kinds, strict=True)])
             size += len(held[-1][0])
-            if size >= 1 << 21:
+            if size >= _HELD:
                 if (out := settle(held)) is not None:
                     yield out
                 held, size = [], 0
