@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 NULL_MARK = "\x00"
 
 
-def canonical(column: Column, dtype: T.DataType) -> Column:
-    """One text per value: decimals with their full scale, times with six digits.
+def canonical(column: Column, dtype: T.DataType, time_digits: int = 6) -> Column:
+    """One text per value: decimals with their full scale, times with six digits, or more
+    (zeros) where the rows of another system were hashed so.
 
     Doubles are refused, since the same number prints differently elsewhere and
     sums of doubles depend on their order: cast them to a decimal first.
@@ -22,13 +23,13 @@ def canonical(column: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
         raise TypeError(f"cannot hash a column of type {dtype.simpleString()}")
     if isinstance(dtype, T.TimestampNTZType):
-        return _six_digits(column.cast("string"))
+        return _digits(column.cast("string"), time_digits)
     if isinstance(dtype, T.TimestampType):
         # Instants are written in UTC, whatever zone the session shows them in.
         seconds = (F.unix_micros(column).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
         epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
         utc = epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
-        return _six_digits(utc.cast("string"))
+        return _digits(utc.cast("string"), time_digits)
     if isinstance(dtype, T.BinaryType):
         return F.hex(column)
     if isinstance(dtype, T.StringType):
@@ -37,13 +38,18 @@ def canonical(column: Column, dtype: T.DataType) -> Column:
 
 
 def row_hash(df: DataFrame, columns: Sequence[str], bits: int = 512, nulls: str = "skip",
-             style: str = "hex", sep: str = "~") -> Column:
+             style: str = "hex", sep: str = "~", time_digits: int = 6,
+             encoding: str = "UTF-8") -> Column:
     """SHA-2 over the named columns of ``df``, in the given order.
 
     nulls="skip" leaves NULLs out, so a value moving between two neighbouring
     nullable columns keeps the hash; nulls="mark" tells those rows apart.
     style="0x" writes upper-case hex after 0x instead of bare lower-case hex.
+    ``time_digits`` (6 or more) and ``encoding`` (such as "UTF-16LE") give the hashes of a
+    system that writes its times and its text so.
     """
+    if time_digits < 6:
+        raise ValueError("times need six digits")
     if nulls not in ("skip", "mark") or style not in ("hex", "0x"):
         raise ValueError(f"unknown option: nulls={nulls!r}, style={style!r}")
     types = {f.name.lower(): f.dataType for f in df.schema.fields}
@@ -53,15 +59,16 @@ def row_hash(df: DataFrame, columns: Sequence[str], bits: int = 512, nulls: str
     parts = []
     for name in columns:
         try:
-            part = canonical(F.col(f"`{name}`"), types[name.lower()])
+            part = canonical(F.col(f"`{name}`"), types[name.lower()], time_digits)
         except TypeError as problem:
             raise TypeError(f"column {name}: {problem}") from None
         parts.append(F.coalesce(part, F.lit(NULL_MARK)) if nulls == "mark" else part)
-    digest = F.sha2(F.concat_ws(sep, *parts), bits)
+    text = F.concat_ws(sep, *parts)
+    digest = F.sha2(text if encoding.upper() == "UTF-8" else F.encode(text, encoding), bits)
     return F.concat(F.lit("0x"), F.upper(digest)) if style == "0x" else digest
 
 
-def _six_digits(text: Column) -> Column:
+def _digits(text: Column, digits: int) -> Column:
     # Text of a time is trimmed to the digits it needs: fill up the fraction again.
     return F.concat(F.substring(text, 1, 19), F.lit("."),
-                    F.rpad(F.substring(text, 21, 6), 6, "0"))
+                    F.rpad(F.substring(text, 21, 6), digits, "0"))

@@ -88,9 +88,18 @@ def stamp(df: DataFrame, batch_ts, updated_col: str = UPDATED_AT,
 
 def apply_delta(snapshot: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The snapshot after the upsert: rows of other keys, and the delta. Rows that
-    the delta does not mention stay, as nothing is ever deleted."""
+    the delta does not mention stay, as nothing is ever deleted.
+
+    Columns of either side stay, too: those of a new rule are NULL in rows the delta
+    does not have, and dropped rules are NULL in rows it has. One name with two types is an error.
+    """
+    stored = {name.lower(): kind for name, kind in snapshot.dtypes}
+    other = [f"{name}: {stored[name.lower()]} and {kind}" for name, kind in delta.dtypes
+             if stored.get(name.lower(), kind) != kind]
+    if other:
+        raise TypeError(f"columns change their type: {'; '.join(other)}")
     kept = snapshot.join(delta.select(*keys), list(keys), "left_anti")
-    return kept.select(*snapshot.columns).unionByName(delta.select(*snapshot.columns))
+    return kept.select(*snapshot.columns).unionByName(delta, allowMissingColumns=True)
 
 
 def empty_prior(current: DataFrame, keys: Sequence[str], hash_col: str = HASH,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import elapsed_seconds, time_literal
 from tidemark.operators.changes import CLASS, INSERTED, UPDATED
+from tidemark.operators.staging import stage
 
 RUN_SCHEMA = (
     "ProcessName string, ExecutionId string, StartTime timestamp, EndTime timestamp, "
@@ -56,17 +57,22 @@ def append_run(spark: SparkSession, path: str, record: dict) -> None:
         "append").parquet(path)
 
 
-def logged_run(spark: SparkSession, path: str, process: str, execution_id: str, job) -> DataFrame:
-    """Run ``job()``, which returns a delta to be counted, and log the outcome. A
-    failure is logged with its message and raised again."""
-    start = dt.datetime.now(dt.timezone.utc)
+def logged_run(spark: SparkSession, path: str, process: str, execution_id: str, job,
+               write=None, start=None) -> DataFrame:
+    """Run ``job()``, which returns a delta, store it, hand it to ``write`` and log the outcome.
+
+    ``start`` defaults to now. The delta is computed once, as a table in the shared folder, which is returned. A run is logged as
+    a success after its write; a failure of either is logged with its whole message and raised again."""
+    start = start or dt.datetime.now(dt.timezone.utc)
     base = {"ProcessName": process, "ExecutionId": execution_id, "StartTime": start}
     try:
-        delta = job()
+        delta = stage(job(), mode="table").df
+        if write:
+            write(delta)
         counted = run_metrics(delta, process, execution_id, start, start).first()
     except Exception as problem:
         append_run(spark, path, {**base, "EndTime": dt.datetime.now(dt.timezone.utc),
-                                 "ExecutionStatus": "FAILED", "ErrorMessage": str(problem)[:4000]})
+                                 "ExecutionStatus": "FAILED", "ErrorMessage": str(problem)})
         raise
     append_run(spark, path, {
         **base, "EndTime": dt.datetime.now(dt.timezone.utc),

@@ -5,23 +5,28 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from tidemark.session import scratch, shared_dir
+from tidemark.session import remove, scratch, shared_dir
 
 
 class Stage:
     """A stage result and its release. Usable as a context manager."""
 
-    def __init__(self, df: DataFrame, view: str | None = None, persisted: bool = False):
-        self.df, self._view, self._persisted = df, view, persisted
+    def __init__(self, df: DataFrame, view: str | None = None, persisted: bool = False,
+                 path: str | None = None):
+        self.df, self._view, self._persisted, self._path = df, view, persisted, path
 
     def release(self) -> None:
-        """Free the cache and drop the view; harmless when called again."""
+        """Free the cache, drop the view and delete the written table; harmless when
+        called again. Nothing may read the stage afterwards."""
         if self._persisted:
             self.df.unpersist()
             self._persisted = False
         if self._view:
             self.df.sparkSession.catalog.dropTempView(self._view)
             self._view = None
+        if self._path:
+            remove(self.df.sparkSession, self._path)
+            self._path = None
 
     def __enter__(self) -> DataFrame:
         return self.df
@@ -38,6 +43,7 @@ def stage(df: DataFrame, name: str | None = None, mode: str = "lazy") -> Stage:
     folder, so that an executor's loss costs nothing upstream. table: the same as
     a parquet table, of which later steps read only the columns they need.
     """
+    path = None
     if mode == "persist":
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     elif mode == "checkpoint":
@@ -53,4 +59,4 @@ def stage(df: DataFrame, name: str | None = None, mode: str = "lazy") -> Stage:
         raise ValueError(f"unknown mode {mode!r}")
     if name:
         df.createOrReplaceTempView(name)
-    return Stage(df, name, mode == "persist")
+    return Stage(df, name, mode == "persist", path)

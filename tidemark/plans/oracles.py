@@ -422,11 +422,31 @@ ORACLES: dict[str, str] = {
     "row_hash_256": _hash_lines("sha256(concat_ws('~', {0}))"),
     "row_hash_marked": _hash_lines("'0x' || upper(sha256(concat_ws('~', {1})))"),
     "cdc_classify": f"{CDC_ROWS} SELECT * EXCLUDE (LoadUpdateDate, LoadCreateDate) FROM labelled",
+    "cdc_classify_512": f"{CDC_ROWS} SELECT * EXCLUDE (HashValue, LoadUpdateDate, LoadCreateDate) FROM labelled",
     "cdc_delta": f"{CDC_ROWS} SELECT * FROM labelled WHERE InsertUpdates <> 3",
     "cdc_delta_pruned": f"""{CDC_ROWS} SELECT * FROM labelled
         WHERE InsertUpdates <> 3 AND shipped >= TIMESTAMP '2000-06-01'""",
     "cdc_inserts": f"""{CDC_ROWS} SELECT k, rev, part, amount, kind, category, shipped, HashValue
         FROM labelled WHERE InsertUpdates = 1""",
+    "row_hash_512": f"""
+        SELECT *, count(*) AS copies, 130 AS digits, true AS plain FROM (
+        SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_extendedprice AS {_DEC}) AS amount,
+               nullif(l_returnflag, 'N') AS kind, nullif(l_linestatus, 'O') AS category, l_shipdate
+        FROM lineitem) GROUP BY ALL""",
+    "cdc_rule_added": f"""{CDC_ROWS},
+        delta AS (SELECT * FROM labelled WHERE InsertUpdates <> 3)
+        SELECT k, rev, part, amount, kind, category, shipped, HashValue, LoadUpdateDate, LoadCreateDate,
+               CAST(NULL AS {_DEC}) AS returned FROM prior p
+        WHERE NOT EXISTS (SELECT 1 FROM delta d WHERE d.k = p.k AND d.rev = p.rev)
+        UNION ALL SELECT k, rev, part, amount, kind, category, shipped, HashValue, LoadUpdateDate, LoadCreateDate,
+               CASE WHEN kind = 'R' THEN amount END FROM delta""",
+    "incremental_runs": f"""{CDC_ROWS},
+        runs AS (SELECT amount, CASE WHEN shipped < TIMESTAMP '2001-01-01' THEN TIMESTAMP '2001-01-01'
+                 ELSE TIMESTAMP '2002-01-01' END AS t FROM cur)
+        SELECT t AS LoadCreateDate, t AS LoadUpdateDate, count(*) AS n, CAST(sum(amount) AS DECIMAL(28,2)) AS total,
+               'stored' AS what FROM runs GROUP BY t
+        UNION ALL SELECT t, NULL, count(amount), CAST(0 AS DECIMAL(28,2)), 'log' FROM (SELECT * FROM runs UNION ALL SELECT NULL, TIMESTAMP '2003-01-01')
+        GROUP BY t""",
     "cdc_apply": CDC_APPLY,
     "cdc_upsert_versions": CDC_APPLY,
     "cdc_null_hash": CDC_NULL,

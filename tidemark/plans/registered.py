@@ -13,6 +13,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from tidemark.functions import (
     composite_id,
@@ -23,6 +24,7 @@ from tidemark.functions import (
     safe_key,
     with_defaults,
 )
+from tidemark.functions.scalars import time_literal
 from tidemark.operators import (
     Check,
     Lookup,
@@ -60,7 +62,9 @@ from tidemark.operators import (
     standard_checks,
     status,
 )
+from tidemark.operators.changes import CLASS, LABEL, empty_prior
 from tidemark.plans import claims
+from tidemark.plans.incremental import run_once
 from tidemark.plans.measure_job import MeasureJob, delta_of, measured_rows
 from tidemark.session import scratch
 from tidemark.sources import (
@@ -152,14 +156,16 @@ def sales_rules(spark: SparkSession):
     return load_rules(rules_frame(spark, rules, "Sales"), "Sales")
 
 
-def sales_rows(spark: SparkSession, sf_dir: str, start=START, strategy: str = "or") -> DataFrame:
+def sales_rows(spark: SparkSession, sf_dir: str, start=START, strategy: str = "auto") -> DataFrame:
     t = read_tables(spark, sf_dir)
-    lines = latest_lines(spark, sf_dir).select(
+    # The window comes before the ranking. That is the same only because the window's time leads the
+    # ranking's order, descending, and its join key is a ranking key: if any row of a
+    # key is in the window, so is the latest one. Both filters then reach their scans.
+    facts = latest_per_key(
+        changed_since(t["lineitem"], t["orders"], ("l_orderkey", "o_orderkey"), "l_shipdate",
+                      "o_orderdate", start, strategy, assume_unique=True),
+        LINE_KEYS, LINE_ORDER).select(
         *LINE_KEYS, "l_partkey", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")
-    # The lines are one per key already, so there are no copies to remove. A time filter
-    # cannot pass below the ranking that picks them: "or" ranks once, "union" would twice.
-    facts = changed_since(lines, t["orders"], ("l_orderkey", "o_orderkey"), "l_shipdate",
-                          "o_orderdate", start, strategy, assume_unique=True)
     lookups = [
         Lookup("ord", t["orders"], "line.l_orderkey = ord.o_orderkey", "inner"),
         Lookup("cust", t["customer"], "ord.o_custkey = cust.c_custkey", "inner"),
@@ -340,8 +346,10 @@ def mismatched_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .otherwise(F.col("o_custkey").cast("string"))
     orders = t["orders"].select("o_orderkey", text_key.alias("cust_text")) \
                         .withColumn("c_custkey", safe_key("cust_text", "bigint"))
+    # A fifth of the keys are NULL: they are dealt over many tasks.
     return enrich(orders, [Lookup("cust", t["customer"].select("c_custkey", "c_name"), ["c_custkey"],
-                                  take=["c_name"], defaults={"c_name": "UNKNOWN"})])
+                                  take=["c_name"], defaults={"c_name": "UNKNOWN"},
+                                  spread=("c_custkey", "c_custkey"))])
 
 
 # --- rules ------------------------------------------------------------------------------------
@@ -418,7 +426,14 @@ def row_hash_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_hash_512(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _hash_lines(spark, sf_dir, 512, "0x")
+    """What can be told of 512-bit hashes without their text: length, style, and whether they
+    group the lines as the hashed values do."""
+    rows = _hash_lines(spark, sf_dir, 512, "0x")
+    values = [c for c in rows.columns if c != "HashValue"]
+    by_hash = rows.groupBy("HashValue").agg(F.count("*").alias("copies"), *[F.min(c).alias(c) for c in values])
+    return by_hash.select(
+        *values, "copies", F.length("HashValue").cast("long").alias("digits"),
+        F.col("HashValue").rlike("^0x[0-9A-F]+$").alias("plain"))
 
 
 # --- change detection -------------------------------------------------------------------------
@@ -432,6 +447,13 @@ def cdc_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(rows, prior, ["k", "rev"]).select(*LINE_RESULT, "InsertUpdates", "AuditOperations")
 
 
+def cdc_classify_512(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on hashes of 512 bits, the production width, without their text."""
+    rows = stage(hashed_lines(spark, sf_dir, 512), mode="table").df
+    prior = prior_snapshot(stored_lines(rows), ["k", "rev"])
+    return classify(rows, prior, ["k", "rev"]).select(*LINE_RESULT[:-1], "InsertUpdates", "AuditOperations")
+
+
 def cdc_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = staged_lines(spark, sf_dir)
     return stamp(only_changes(classify(rows, stored_lines(rows), ["k", "rev"])), BATCH)
@@ -452,7 +474,7 @@ def cdc_inserts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cdc_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = staged_lines(spark, sf_dir)
     stored = stored_lines(rows).withColumn("LoadUpdateDate", first_time())
-    delta = stamp(only_changes(classify(rows, stored, ["k", "rev"])), BATCH)
+    delta = stamp(only_changes(classify(rows, stored, ["k", "rev"])), BATCH).drop(CLASS, LABEL)
     return apply_delta(stored.select(*LINE_RESULT, "LoadUpdateDate", "LoadCreateDate"),
                        delta, ["k", "rev"])
 
@@ -464,12 +486,50 @@ def cdc_upsert_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = stored_lines(rows).withColumn("LoadUpdateDate", first_time())
     store.commit(first.select(*LINE_RESULT, "LoadUpdateDate", "LoadCreateDate"))
     prior = prior_snapshot(store.read(), ["k", "rev"])
-    delta = stamp(only_changes(classify(rows, prior, ["k", "rev"])), BATCH)
+    delta = stamp(only_changes(classify(rows, prior, ["k", "rev"])), BATCH).drop(CLASS, LABEL)
     with stage(delta, mode="persist") as kept:
         upsert(store, kept, ["k", "rev"])
     return store.read()
 
 
+def cdc_rule_added(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where the run has a measure that the stored version does not know yet."""
+    rows = staged_lines(spark, sf_dir)
+    store = Snapshots(spark, scratch(spark, "snapshot"))
+    first = stored_lines(rows).withColumn("LoadUpdateDate", first_time())
+    store.commit(first.select(*LINE_RESULT, "LoadUpdateDate", "LoadCreateDate"))
+    grown = rows.withColumn("returned", F.when(F.col("kind") == "R", F.col("amount")))
+    prior = prior_snapshot(store.read(), ["k", "rev"])
+    delta = stamp(only_changes(classify(grown, prior, ["k", "rev"])), BATCH).drop(CLASS, LABEL)
+    with stage(delta, mode="table") as kept:
+        upsert(store, kept, ["k", "rev"])
+    return store.read()
+
+
+def incremental_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of the whole job on a growing source, and one with nothing new: the
+    stored rows per create and update time, and the log's counts per run."""
+    rows = staged_lines(spark, sf_dir)
+    root = scratch(spark, "job")
+    sources = [rows.where(F.col("shipped") < F.lit("2001-01-01").cast("timestamp_ntz")), rows, rows]
+    times = ["2001-01-01 00:00:00", "2002-01-01 00:00:00", "2003-01-01 00:00:00"]
+    for source, now in zip(sources, times, strict=True):
+        def job(start, prior, source=source, now=now):
+            rows = source.where(F.col("shipped") >= time_literal(effective_start(start), TimestampNTZType()))
+            if prior is None:
+                prior = empty_prior(rows, ["k", "rev"], time_type=TimestampNTZType())
+            return delta_of(rows, prior, ["k", "rev"], now)
+
+        run_once(spark, root, "lines", job, ["k", "rev"], now)
+    stored = Snapshots(spark, f"{root}/snapshot").read().groupBy("LoadCreateDate", "LoadUpdateDate").agg(
+        F.count("*").alias("n"), F.sum("amount").cast("decimal(28,2)").alias("total"))
+    log = spark.read.parquet(f"{root}/log").select(
+        F.col("StartTime").cast("timestamp_ntz").alias("LoadCreateDate"),
+        F.lit(None).cast("timestamp_ntz").alias("LoadUpdateDate"), F.col("RecordsInserted").alias("n"),
+        F.col("RecordsUpdated").cast("decimal(28,2)").alias("total"))
+    return stored.withColumn("what", F.lit("stored")).unionByName(log.withColumn("what", F.lit("log")))
+
+
 def cdc_null_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = staged_lines(spark, sf_dir)
     prior = stored_lines(rows, null_hash=True)
@@ -646,9 +706,9 @@ def stream_cdc_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark, "stream")
     events = read_tables(spark, sf_dir)["events"]
     events.withColumn("amount", F.col("value").cast("decimal(18,2)")).drop("value").repartition(
-        4, "event_type").write.parquet(f"{root}/in")
+        F.pmod(F.xxhash64("event_id"), F.lit(16))).write.parquet(f"{root}/in")
     schema = spark.read.parquet(f"{root}/in").schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/in")
     stream_cdc(stream, f"{root}/out", ["user_id"], ["ts", "event_id"],
                ["user_id", "event_id", "ts", "event_type", "amount", "props"],
                batch_time=lambda _: dt.datetime.fromisoformat(BATCH), time_type="timestamp_ntz",
@@ -680,11 +740,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "row_hash_marked": row_hash_marked,
     "row_hash_512": row_hash_512,
     "cdc_classify": cdc_classify,
+    "cdc_classify_512": cdc_classify_512,
     "cdc_delta": cdc_delta,
     "cdc_delta_pruned": cdc_delta_pruned,
     "cdc_inserts": cdc_inserts,
     "cdc_apply": cdc_apply,
     "cdc_upsert_versions": cdc_upsert_versions,
+    "cdc_rule_added": cdc_rule_added,
+    "incremental_runs": incremental_runs,
     "cdc_null_hash": cdc_null_hash,
     "dq_profile": dq_profile,
     "dq_gate": dq_gate,

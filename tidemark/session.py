@@ -57,6 +57,19 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store holds it; harmless where there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Move a folder to an unused name in the same store."""
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
+    if not source.getFileSystem(spark._jsc.hadoopConfiguration()).rename(source, target):
+        raise OSError(f"cannot move {path} to {to}")
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"

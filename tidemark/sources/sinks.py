@@ -2,28 +2,35 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
-from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import remove, rename
+
 # The partition columns of each grain, outermost first.
 GRAINS = {"year": ("year",), "month": ("year", "month"), "day": ("load_date",)}
 
 
 def write_overwrite(df: DataFrame, path: str) -> None:
-    """Replace the table at ``path``. Refused when ``df`` reads from there: the old
-    data would be gone before it is read. Write a new snapshot version instead."""
-    target = _plain(path)
-    for read in df.inputFiles():
-        if _plain(read) == target or _plain(read).startswith(target + "/"):
-            raise ValueError(f"the data to be written is read from {path}")
-    df.write.mode("overwrite").parquet(path)
+    """Replace the table at ``path``, also when ``df`` reads from there: the new data is
+    written beside it first and takes its place only when it is whole. Plans made on the
+    old files cannot be run afterwards."""
+    spark, target = df.sparkSession, path.rstrip("/")
+    fresh = f"{target}.new-{uuid.uuid4().hex}"
+    df.write.parquet(fresh)
+    remove(spark, target)
+    rename(spark, fresh, target)
 
 
 def with_partition_columns(df: DataFrame, date_col: str, grain: str) -> DataFrame:
-    """Adds the partition columns of a grain: year; year and month; or load_date."""
+    """Adds the partition columns of a grain: year; year and month; or load_date. A
+    column of that name which is there already would be lost: an error."""
+    taken = {c.lower() for c in df.columns} & set(GRAINS[grain])
+    if taken:
+        raise ValueError(f"the data has columns named like its partitions: {', '.join(sorted(taken))}")
     made = {"year": F.year(date_col), "month": F.month(date_col), "load_date": F.to_date(date_col)}
     return df.withColumns({name: made[name] for name in GRAINS[grain]})
 
@@ -57,7 +64,3 @@ def write_clustered(df: DataFrame, path: str, keys: Sequence[str],
                     partitions: int | None = None) -> None:
     """Write a table laid out for later pruning by key."""
     clustered(df, keys, partitions).write.mode("overwrite").parquet(path)
-
-
-def _plain(path: str) -> str:
-    return unquote(urlparse(path).path).rstrip("/")

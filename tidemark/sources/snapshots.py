@@ -1,18 +1,20 @@
 """Snapshots of a table as numbered versions of plain parquet.
 
-A version is a folder of its own, never the one being read. It counts only when
-its row is in the version list, which is appended after the data: a run that dies
-half-way leaves the last version in force, and a replay writes the same number.
+A version is a folder of its own with a name nobody else takes, never the one being read. It
+counts only when its row is in the version list, which is appended after the data: a run
+that dies half-way leaves the last version in force.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.changes import apply_delta
+from tidemark.session import remove
 from tidemark.sources.sinks import clustered
 from tidemark.sources.tables import read_if_there
 
@@ -21,8 +23,18 @@ class Snapshots:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
+    def listed(self) -> DataFrame | None:
+        """version, folder and run of every commit; of two with one number the first folder counts."""
+        found = read_if_there(self.spark, f"{self.root}/versions")
+        if found is None:
+            return None
+        return found.groupBy("version").agg(F.min("folder").alias("folder"), F.min_by("run", "folder").alias("run"))
+
     def path(self, version: int) -> str:
-        return f"{self.root}/data/v{version:012d}"
+        row = self.listed().where(F.col("version") == version).first()
+        if row is None:
+            raise ValueError(f"no version {version} below {self.root}")
+        return f"{self.root}/data/{row['folder']}"
 
     def version(self, below: int | None = None) -> int | None:
         """The latest complete version, optionally among those below a number."""
@@ -39,24 +51,42 @@ class Snapshots:
         return None if version is None else self.spark.read.parquet(self.path(version))
 
     def commit(self, df: DataFrame, version: int | None = None, keys: Sequence[str] = (),
-               partitions: int = 0) -> int:
-        """Write a version and put it in force. With ``partitions``, laid out by key."""
+               partitions: int = 0, run: str | None = None) -> int:
+        """Write a version and put it in force. With ``partitions``, laid out by key.
+
+        A number that is not above the latest one is an error, unless ``run`` is the
+        name under which that number was committed: a replay, which changes nothing. So is
+        losing a race with another writer for a number; the loser's rows do not count.
+        """
         latest = self.version()
         if version is None:
             version = 0 if latest is None else latest + 1
         elif latest is not None and version <= latest:
-            return latest  # a replay of a run that had succeeded
+            before = self.listed().where(F.col("version") == version).first()
+            if run is not None and before is not None and before["run"] == run:
+                return version
+            raise ValueError(f"version {version} is not above the stored {latest} in {self.root}")
+        folder = f"v{version:012d}-{uuid.uuid4().hex}"
         if partitions:
             df = clustered(df, keys, partitions)
-        df.write.mode("overwrite").parquet(self.path(version))
-        (self.spark.createDataFrame([(version,)], "version long").coalesce(1)
-             .write.mode("append").parquet(f"{self.root}/versions"))
+        df.write.parquet(f"{self.root}/data/{folder}")
+        (self.spark.createDataFrame([(version, folder, run)], "version long, folder string, run string")
+             .coalesce(1).write.mode("append").parquet(f"{self.root}/versions"))
+        if not self.path(version).endswith(folder):
+            raise RuntimeError(f"version {version} of {self.root} was taken by another run")
         return version
 
+    def retire(self, keep: int = 7) -> list[int]:
+        """Delete the data of all but the last ``keep`` versions; their numbers stay taken."""
+        old = self.listed().orderBy(F.desc("version")).offset(keep).collect()
+        for row in old:
+            remove(self.spark, f"{self.root}/data/{row['folder']}")
+        return [row["version"] for row in old]
+
 
-def upsert(store: Snapshots, delta: DataFrame, keys: Sequence[str],
-           version: int | None = None, partitions: int = 0) -> int:
+def upsert(store: Snapshots, delta: DataFrame, keys: Sequence[str], version: int | None = None,
+           partitions: int = 0, run: str | None = None) -> int:
     """Apply a delta as the next version: rows of its keys are replaced or added."""
     current = store.read()
     rows = delta if current is None else apply_delta(current, delta, keys)
-    return store.commit(rows, version, keys, partitions)
+    return store.commit(rows, version, keys, partitions, run)

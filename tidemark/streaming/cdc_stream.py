@@ -3,6 +3,7 @@
 State on disk below ``root``:
   changes/batch=N   rows batch N inserted or updated
   base/             a snapshot of everything up to some batch, made now and then
+  stream/           the id of the stream, so that no other one writes here
 A batch reads the stored rows of its own keys only and writes its own changes
 only. Its id names its folder, so a replay overwrites what the first try wrote.
 """
@@ -67,7 +68,21 @@ class ChangeLog:
         """Fold the changes up to a batch into a new base."""
         rows = self.current(below=batch_id + 1)
         if rows is not None:
-            self.base.commit(rows, batch_id)
+            self.base.commit(rows, batch_id, run=f"batch {batch_id}")
+
+    def claim(self, checkpoint: str) -> None:
+        """Tie the root to the stream of a checkpoint. Another stream would count its
+        batches from 0 again and write over this one's: it is refused."""
+        mine = self.spark.read.json(f"{checkpoint}/metadata").first()["id"]
+        owner = read_if_there(self.spark, f"{self.root}/stream")
+        if owner is not None:
+            known = owner.first()["id"]
+            if known != mine:
+                raise RuntimeError(f"{self.root} belongs to stream {known}; start {mine} on a root of its own")
+        elif self.log() is not None:
+            raise RuntimeError(f"{self.root} holds rows of a stream that is not known")
+        else:
+            self.spark.createDataFrame([(mine,)], "id string").coalesce(1).write.parquet(f"{self.root}/stream")
 
 
 def stream_cdc(stream: DataFrame, root: str, keys: Sequence[str], order: Sequence[str],
@@ -91,10 +106,16 @@ def stream_cdc(stream: DataFrame, root: str, keys: Sequence[str], order: Sequenc
         stream = (stream.withWatermark(*dedupe_within)
                         .dropDuplicatesWithinWatermark([*keys, *order]))
 
+    place = (checkpoint or f"{root.rstrip('/')}/checkpoint").rstrip("/")
+    claimed: list[bool] = []
+
     def process(batch: DataFrame, batch_id: int) -> None:
         now = (batch_time(batch_id) if batch_time else
                dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
         store = ChangeLog(batch.sparkSession, root, keys)
+        if not claimed:
+            store.claim(place)
+            claimed.append(True)
         newest = latest_per_key(batch, keys, [f"{c} desc" for c in order])
         hashed = newest.withColumn(HASH, row_hash(newest, hash_columns))
         with stage(hashed, mode="persist") as rows:
@@ -116,7 +137,7 @@ def stream_cdc(stream: DataFrame, root: str, keys: Sequence[str], order: Sequenc
             store.compact(batch_id)
 
     writer = stream.writeStream.foreachBatch(process).option(
-        "checkpointLocation", checkpoint or f"{root.rstrip('/')}/checkpoint")
+        "checkpointLocation", place)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
