@@ -6,13 +6,14 @@ import base64
 import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches_of, rows_of, running, written
+from tidemark.llm.common import batches_of, rows_of, running, ship_package, written
 
 #: Effort of the search: alternatives tried per bin, and bins opened in all attempts.
 #: Past either the best packing so far is taken; no piece is left out.
@@ -24,8 +25,9 @@ CHUNK_ROWS = 50_000
 
 # --- tokens -----------------------------------------------------------------------------------
 
+@lru_cache(maxsize=2)
 def _encoder(ranks_path: str, pattern: str):
-    """The byte-level BPE of a rank file. Its ids are those of the same vocabulary read by
+    """The byte-level BPE of a rank file, once per worker process. Its ids are those of the same vocabulary read by
     ``tokenizers``, at four times the speed; a test compares them. Special tokens in a text are
     ordinary text."""
     import tiktoken
@@ -227,9 +229,10 @@ def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, key: str = "d
     Bin completion turns it into kinds of bins; pieces are numbered within their
     length by distributed running counts and look up the kind that takes their number.
     """
+    ship_package(docs.sparkSession)
     pieces = written(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
         _tokenize(ranks_path, pattern, size, end_id),
-        "doc_id long, piece int, start long, length long, ids_crc32 long"), "pieces")
+        "doc_id long, piece int, start long, length long, ids_crc32 long"), "pieces", 256)
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     chunks = sum(counts.values()) // chunk_rows + 1
     ranked = running(pieces, ["length"], F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(chunks)),

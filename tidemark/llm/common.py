@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +23,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the workers this package, once per context: tasks written in Python import
+    it, and it need not be installed on the executors."""
+    context = spark.sparkContext
+    if getattr(context, "_tidemark_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="tidemark-package-"), "tidemark_package.zip")
+    with zipfile.ZipFile(archive, "w") as packed:
+        for source in sorted(root.rglob("*.py")):
+            packed.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._tidemark_shipped = True
+
+
 def written(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFrame:
     """The rows as a parquet table below ``spark.checkpoint.dir``: computed once,
     and read again from the shared folder when an executor is lost. ``batch_rows``

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, UPPER, batches_of, rows_of, written
+from tidemark.llm.common import LOWER, UPPER, batches_of, rows_of, ship_package, written
 
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 #: Content one table may hold, and the mean content of one partition; the second is
@@ -94,6 +94,7 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", row:
     files are the spill files of the method: a partition streams through a table of bounded
     bytes, and content that finds no room goes to the next level under another hash.
     """
+    ship_package(docs.sparkSession)
     given = F.col(row) if row else F.lit(None).cast("long")
     local = written(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"),
                                 given.alias("row")).mapInArrow(

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches_of, written
+from tidemark.llm.common import batches_of, ship_package, written
 from tidemark.llm.ngram_join import _BYTES, _mixed, _power
 
 LENGTH, ANCHOR = 100, 32
@@ -307,6 +307,7 @@ def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     apart by a hash of their text, which also orders them; rows that repeat key and text are
     one document, reported once per row. Other columns are ignored.
     """
+    ship_package(docs.sparkSession)
     rows = docs.select(
         F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).select(
         "doc_id", F.coalesce("doc_id", F.lit(-2**63)).alias("doc"), F.xxhash64("text").alias("h"), "text")
