@@ -42,7 +42,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def link_items(members: DataFrame, attributes: list[str], pairs_of: Callable[[DataFrame], DataFrame],
-               verify: Callable[[DataFrame], DataFrame], pivots: tuple[int, ...] = (4,)) -> DataFrame:
+               verify: Callable[[DataFrame], DataFrame], pivots: tuple[int, ...] = (4,), slices: int = 8) -> DataFrame:
     """Components of the graph of all verified pairs of items that share a key.
 
     ``members``: key, item (longs) and attributes. ``pairs_of`` turns raw pairs (a, b
@@ -52,7 +52,8 @@ def link_items(members: DataFrame, attributes: list[str], pairs_of: Callable[[Da
     compared with a pivot, of so many choices that the keys of one group of near copies
     name the same few. What the links join needs no further check. Then every pair of members in
     *different* components that shares a key is compared: the largest component of a
-    key against the rest, and the rest among themselves.
+    key against the rest, and the rest among themselves. One of ``slices`` shares of the members
+    comes first: what it links to a component is not compared with all others of that.
     """
     joined, checked, links = None, [], []
 
@@ -83,17 +84,25 @@ def link_items(members: DataFrame, attributes: list[str], pairs_of: Callable[[Da
             F.col(c).alias(f"_x_{c}") for c in attributes])
         if check(ranked.join(pivot, "key").where("_c <> _xc"), "star"):
             joined = renewed()
-    sizes = written(placed().groupBy("key", "_c").agg(F.count("*").alias("_n")), "key-components")
+    part = F.pmod(F.xxhash64("item", F.lit("slice")), F.lit(slices))
+    for share in (part == 0, part != 0):
+        raw = _across(placed(), attributes, share)
+        if check(raw, "cross"):
+            joined = renewed()
+    if joined is None:
+        return members.select("item", F.col("item").alias("component")).where("false")
+    return joined
+
+
+def _across(placed: DataFrame, attributes: list[str], share: Column) -> DataFrame:
+    """Raw pairs of different components, the first side from a share of the members."""
+    sizes = written(placed.groupBy("key", "_c").agg(F.count("*").alias("_n")), "key-components")
     largest = sizes.groupBy("key").agg(F.max("_n").alias("_n"), F.count("*").alias("_k")).where("_k > 1").drop("_k")
     largest = sizes.join(largest, ["key", "_n"]).groupBy("key").agg(F.min("_c").alias("_big"))
-    open_keys = written(placed().join(largest, "key"), "open-keys")
+    open_keys = written(placed.join(largest, "key"), "open-keys")
     rest = open_keys.where("_c <> _big").select("key", F.col("item").alias("_x"), F.col("_c").alias("_xc"), *[
         F.col(c).alias(f"_x_{c}") for c in attributes])
-    if check(open_keys.join(rest, "key").where("_c <> _xc and (_c = _big or item < _x)"), "cross"):
-        joined = renewed()
-    if joined is None:
-        return members.select("item", F.col("item").alias("component")).where("false")
-    return joined
+    return open_keys.where(share).join(rest, "key").where("_c <> _xc and (_c = _big or item < _x)")
 
 
 def _ordered(pairs: DataFrame, attributes: list[str]) -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, UPPER, batches_of, written
+from tidemark.llm.common import LOWER, UPPER, batches_of, ship_package, written
 from tidemark.llm.components import link_items
 from tidemark.llm.sketches import BITS, bucket_counts, levels
 
@@ -242,14 +242,15 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _candidates(percent: int):
-    """Length and positional filter, once per pair of items."""
+    """Length and positional filter, then each pair of items once."""
     def run(raw: DataFrame) -> DataFrame:
         near = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-        pairs = raw.where(near).groupBy("a", "b", "n_a", "n_b").agg(
-            F.min("pos_a").alias("pos_a"), F.min("pos_b").alias("pos_b"))
-        # The first common n-gram is the least position in both, as all sets have one order.
-        most = 1 + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) - 1
-        return pairs.where(most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent).select("a", "b")
+        # From the first common n-gram on, the sets share no more than the shorter rest. A linked
+        # pair passes there; what its later common n-grams say does not matter, so they may
+        # fail here, inside the join, before anything is shuffled.
+        most = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
+        enough = most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+        return raw.where(near & enough).select("a", "b").distinct()
 
     return run
 
@@ -291,6 +292,7 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
     64-bit hashes, sets by a 64-bit hash of theirs.
     """
     spark = docs.sparkSession
+    ship_package(spark)
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
     def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
