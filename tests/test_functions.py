@@ -94,15 +94,23 @@ def test_hash_in_0x_style(spark):
 
 def test_whole_table_512_hashes_equal_hashlib(spark):
     from tests.conftest import SMALL
-    from tidemark.plans.registered import row_hash_512
+    from tidemark.plans.registered import _hash_lines
 
-    for r in row_hash_512(spark, SMALL).collect():
+    for r in _hash_lines(spark, SMALL, 512, "0x").collect():
         parts = [r.l_orderkey, r.l_linenumber, r.l_partkey, r.l_suppkey, r.amount, r.kind, r.category,
                  r.l_shipdate.strftime("%Y-%m-%d %H:%M:%S.%f")]
         text = "~".join(str(p) for p in parts if p is not None)
         assert r.HashValue == "0x" + hashlib.sha512(text.encode()).hexdigest().upper()
 
 
+def test_hashes_of_another_system(spark):
+    df = spark.sql("SELECT 1 AS k, TIMESTAMP_NTZ'2024-03-10 02:30:00.5' AS t, 'ü' AS s")
+    got = df.select(row_hash(df, ["k", "t", "s"], time_digits=7, encoding="UTF-16LE")).first()[0]
+    assert got == hashlib.sha512("1~2024-03-10 02:30:00.5000000~ü".encode("utf-16-le")).hexdigest()
+    with pytest.raises(ValueError):
+        row_hash(df, ["k"], time_digits=3)
+
+
 def test_neighbouring_nulls_collide_unless_marked(spark):
     df = spark.sql("SELECT 'x' AS a, CAST(NULL AS STRING) AS b UNION ALL SELECT NULL, 'x'")
     assert df.select(row_hash(df, ["a", "b"])).distinct().count() == 1
