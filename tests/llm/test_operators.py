@@ -17,7 +17,7 @@ import corpus_pipeline
 from tests.conftest import SMALL, rows
 from tidemark.llm import queries
 from tidemark.llm.bin_packing import best_fit, complete_bins, cut, lower_bound, pack_documents
-from tidemark.llm.components import components
+from tidemark.llm.components import components, link_items
 from tidemark.llm.fuzzy_lines import fuzzy_lines, without_repeats
 from tidemark.llm.grace_dedup import exact_groups, keep_one_each
 from tidemark.llm.hash_tree_sharding import TREE, grown, shard_rows
@@ -155,6 +155,24 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).isEmpty()
 
 
+def test_linked_chains(spark):
+    """Every true pair that shares a key is found: many seeds, each a group of keys and items of its own."""
+    members, edges, item = [], set(), 0
+    for seed in range(400):
+        pick = random.Random(seed)
+        size = pick.randrange(3, 14)
+        group = pick.sample(range(item, item + 40), size)
+        item += 40
+        for key in range(pick.randrange(1, 4)):
+            members += [(10 * seed + key, i) for i in group if not key or pick.random() < 0.6]
+        edges |= {(min(a, b), max(a, b)) for a, b in zip(group, group[1:]) if pick.random() < 0.8}
+    true = spark.createDataFrame(sorted(edges), "a long, b long")
+    frame = spark.createDataFrame(members, "key long, item long").withColumn("n", F.lit(1))
+    got = dict(rows(link_items(frame, ["n"], lambda raw: raw.select("a", "b").distinct(), lambda pairs: pairs.join(true, ["a", "b"]))))
+    want = groups_of(item, edges)
+    assert all(got.get(i, i) == want[i] for _, i in members)
+
+
 def brute_spans(docs, length):
     """Per document (sorted), the bytes of strings that start earlier."""
     seen, out = set(), []

@@ -53,7 +53,8 @@ def link_items(members: DataFrame, attributes: list[str], pairs_of: Callable[[Da
     name the same few. What the links join needs no further check. Then every pair of members in
     *different* components that shares a key is compared: the largest component of a
     key against the rest, and the rest among themselves. One of ``slices`` shares of the members
-    comes first: what it links to a component is not compared with all others of that.
+    comes first: what it links to a component is not compared with all others of that. Then
+    all members do, but for the pairs checked before.
     """
     joined, checked, links = None, [], []
 
@@ -85,7 +86,8 @@ def link_items(members: DataFrame, attributes: list[str], pairs_of: Callable[[Da
         if check(ranked.join(pivot, "key").where("_c <> _xc"), "star"):
             joined = renewed()
     part = F.pmod(F.xxhash64("item", F.lit("slice")), F.lit(slices))
-    for share in (part == 0, part != 0):
+    # The last round leaves no member out: the links of the first may have changed which side of a pair leads.
+    for share in (part == 0, F.lit(True)):
         raw = _across(placed(), attributes, share)
         if check(raw, "cross"):
             joined = renewed()
