@@ -234,6 +234,21 @@ def test_packing(spark, odd, documents):
     assert cut(1024, 1024) == [(0, 1024)] and cut(2050, 1024) == [(0, 2), (2, 1024), (1026, 1024)] and cut(1, 1024) == [(0, 1)]
 
 
+def test_packing_takes_the_ids_of_the_contract(spark):
+    """Quoted special tokens and very long white space, against the reader as it is by default."""
+    from tokenizers import Tokenizer
+
+    reader = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["one <|endoftext|> two", "<|endoftext|><|endoftext|>", "x<|endoftext|", " " * 1_200_000, "a" + "\n" * 1_200_000 + "b",
+             "\x85" * 1_200_000, " " * 99_999 + "x", "x" + " " * 100_000, "word " * 60_000, ""]
+    want = Counter()
+    for i, text in enumerate(texts):
+        ids = [*reader.encode(text, add_special_tokens=False).ids, 2]
+        want.update((i, p, s, n, zlib.crc32(np.array(ids[s:s + n], "<u4").tobytes())) for p, (s, n) in enumerate(cut(len(ids), 1024)))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert Counter(tuple(r[:5]) for r in pack_documents(frame, queries.RANKS, queries.PATTERN).collect()) == want
+
+
 def test_bin_completion_finds_the_optimum():
     def fewest(items, size):
         best = [len(items)]
