@@ -389,6 +389,47 @@ def test_lines(spark, odd, documents):
     assert grouped.where("kept").count() == grouped.select("line_group").distinct().count()
 
 
+def edits(x, y):
+    row = list(range(len(y) + 1))
+    for i, a in enumerate(x, 1):
+        last, row[0] = row[0], i
+        for j, b in enumerate(y, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (a != b))
+    return row[-1]
+
+
+def test_near_lines_are_found(spark):
+    """Changed words and typos in lines of 5 to 100 words, and in a script without blanks; recall against brute force."""
+    pick = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    vocabulary = ["".join(pick.choices(letters, k=pick.randrange(2, 10))) for _ in range(3000)]
+    values, pairs = [], []
+    for n in (5, 7, 10, 15, 20, 40, 70, 100):
+        for case in range(24):
+            line = " ".join(pick.choices(vocabulary, k=n))
+            other = list(line)
+            if case < 8:  # one word
+                words = line.split()
+                words[pick.randrange(n)] = pick.choice(vocabulary)
+                other = " ".join(words)
+            else:  # typos: one, or up to about the bound
+                for _ in range(1 if case < 16 else len(line) // 11):
+                    at = pick.randrange(len(other))
+                    other[at:at + pick.randrange(2)] = pick.choice(letters)
+                other = "".join(other)
+            pairs.append((line, other))
+    for n in (12, 40, 200):
+        line = "".join(chr(0x4E00 + pick.randrange(3000)) for _ in range(n))
+        pairs.append((line, line[:n // 2] + "\u4e00" + line[n // 2 + 1:]))
+    for i, (line, other) in enumerate(pairs):
+        values += [(2 * i, line), (2 * i + 1, other)]
+    got = {r.doc_id: r.line_group for r in fuzzy_lines(spark.createDataFrame(values, "doc_id long, text string")).collect()}
+    near = [i for i, (x, y) in enumerate(pairs) if 10 * edits(x, y) <= max(len(x), len(y))]
+    found = [i for i in near if got[2 * i] == got[2 * i + 1]]
+    assert len(near) > 120 and len(found) >= 0.97 * len(near), (len(near), len(found))
+    assert not [i for i in range(len(pairs)) if i not in near and got[2 * i] == got[2 * i + 1]]
+
+
 def test_pipeline_stages(spark, documents, tmp_path):
     docs, seen = documents, {}
     for name, stage in corpus_pipeline.STAGES[:-1]:
