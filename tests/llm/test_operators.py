@@ -430,6 +430,12 @@ def test_near_lines_are_found(spark):
     assert not [i for i in range(len(pairs)) if i not in near and got[2 * i] == got[2 * i + 1]]
 
 
+def test_equal_lines_of_few_words(spark):
+    texts = ["All rights reserved\n版权所有\nid 7\nปลอดภัย", "all rights  reserved.\n版权所有\nid 8\nปลอดภัย"]
+    got = {(r.doc_id, r.line_no): r for r in fuzzy_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[1, i].kept for i in range(4)] == [False, False, True, False] and got[1, 2].line_group is None
+
+
 def test_pipeline_stages(spark, documents, tmp_path):
     docs, seen = documents, {}
     for name, stage in corpus_pipeline.STAGES[:-1]:
