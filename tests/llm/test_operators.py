@@ -274,6 +274,13 @@ def test_bin_completion_finds_the_optimum():
         assert lower_bound(Counter(items), 100) <= fewest(items, 100) == sum(n for _, n in plan)
 
 
+def test_discarded_alternatives_are_recorded(caplog):
+    items = Counter(random.Random(seed).randint(3, 60) for seed in range(60))
+    plan = complete_bins(items, 100, most_stack=0)
+    assert sum(n * len(f) for f, n in plan) == 60
+    assert best_fit(items, 100) and ("discarded" in caplog.text) == (sum(n for _, n in best_fit(items, 100)) > lower_bound(items, 100))
+
+
 def test_sharding(odd, documents):
     for docs in (odd, documents):
         got = shard_rows(docs, chunk_rows=10).collect()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import json
+import logging
 import re
 import zlib
 from bisect import bisect_left, bisect_right
@@ -22,6 +23,8 @@ from tidemark.llm.common import batches_of, rows_of, running, ship_package, writ
 #: Past either the best packing so far is taken; no piece is left out.
 BRANCHES = 6
 MOST_NODES = 6_000
+#: Alternatives kept for later; a warning tells how many more were discarded.
+MOST_STACK = 400
 #: Pieces numbered in one task.
 CHUNK_ROWS = 50_000
 #: White space in a row from which tiktoken's splitting may overflow its stack (it does at 1,200,000).
@@ -179,7 +182,7 @@ def _take(left: dict[int, int], lengths: list[int], chosen: list[int]) -> int:
 
 
 def complete_bins(counts: dict[int, int], size: int, branches: int = BRANCHES,
-                  most_nodes: int = MOST_NODES) -> list[tuple[tuple[int, ...], int]]:
+                  most_nodes: int = MOST_NODES, most_stack: int = MOST_STACK) -> list[tuple[tuple[int, ...], int]]:
     """(lengths in a bin, number of such bins), in as few bins as the search finds.
 
     Works on the number of pieces per length, so its effort does not depend on how
@@ -188,7 +191,7 @@ def complete_bins(counts: dict[int, int], size: int, branches: int = BRANCHES,
     best = best_fit(counts, size)
     fewest, bound = sum(n for _, n in best), lower_bound(counts, size)
     stack = [(dict(counts), [], 0, sum(x * n for x, n in counts.items()))]
-    nodes = 0
+    nodes = discarded = 0
     while stack and fewest > bound and nodes < most_nodes:
         left, plan, used, total = stack.pop()
         lengths = sorted(x for x, n in left.items() if n)
@@ -208,7 +211,10 @@ def complete_bins(counts: dict[int, int], size: int, branches: int = BRANCHES,
             for other in reversed(options[1:]):
                 # Each bin may waste what the incumbent's bins have to spare.
                 spare = (fewest - 1 - used) * size - total
-                if size - top - sum(other) <= max(spare, waste) and len(stack) < 400:
+                if size - top - sum(other) <= max(spare, waste):
+                    if len(stack) >= most_stack:
+                        discarded += 1
+                        continue
                     rest, names = dict(left), list(lengths)
                     n = _take(rest, names, [top, *other])
                     stack.append((rest, [*plan, ((top, *other), n)], used + n,
@@ -219,6 +225,8 @@ def complete_bins(counts: dict[int, int], size: int, branches: int = BRANCHES,
             used, total = used + n, total - n * sum(chosen)
         if not lengths and used < fewest:
             best, fewest = plan, used
+    if discarded:
+        logging.getLogger(__name__).warning("packing search discarded %d alternatives", discarded)
     return best
 
 
