@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.session import scratch
+from tidemark.session import remove, scratch
 
 #: White space between words: blank, tab, line feed, vertical tab, form feed, carriage return.
 SPACE = "\\x20\\x09-\\x0D"
@@ -38,12 +38,49 @@ def ship_package(spark: SparkSession) -> None:
     context._tidemark_shipped = True
 
 
+_open: list[scope] = []
+
+
+class scope:
+    """Removes, on leaving, the folders of the tables that ``written`` made inside, but for
+    those handed over with ``keep``: they belong to the enclosing scope, if there is one.
+    Every table made inside must have been read for the last time by then."""
+
+    def __enter__(self) -> scope:
+        self.folders: dict[str, SparkSession] = {}
+        _open.append(self)
+        return self
+
+    def keep(self, table: DataFrame) -> DataFrame:
+        spark = self.folders.pop(table._folder)
+        outer = _open[_open.index(self) - 1] if _open.index(self) else None
+        if outer is not None:
+            outer.folders[table._folder] = spark
+        return table
+
+    def __exit__(self, *_: object) -> None:
+        _open.remove(self)
+        for folder, spark in self.folders.items():
+            remove(spark, folder)
+
+
+def drop(*tables: DataFrame) -> None:
+    """Remove tables made by ``written`` before their scope ends. Nothing may read them afterwards."""
+    for each in tables:
+        remove(each.sparkSession, each._folder)
+        for outer in _open:
+            outer.folders.pop(each._folder, None)
+
+
 def written(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFrame:
     """The rows as a parquet table below ``spark.checkpoint.dir``: computed once,
     and read again from the shared folder when an executor is lost. ``batch_rows``
-    bounds the Arrow batches of plans that hand whole texts to Python."""
+    bounds the Arrow batches of plans that hand whole texts to Python. The innermost open
+    ``scope`` removes the table."""
     spark = df.sparkSession
     path = scratch(spark, label)
+    if _open:
+        _open[-1].folders[path] = spark
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
     try:
@@ -52,7 +89,9 @@ def written(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFra
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(name, before)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found._folder = path
+    return found
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

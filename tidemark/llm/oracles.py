@@ -111,7 +111,56 @@ SELECT pair_id, CASE WHEN NOT paired THEN 'unpaired' WHEN position < shared THEN
 FROM p JOIN c USING (pair_id) LEFT JOIN k USING (pair_id)
 WHERE NOT paired OR position >= shared OR side = 'chosen'"""
 
+
+def _crc_sql(value: str) -> str:
+    """CRC-32 of the ASCII text of ``value``, beside the table ``tab`` of the sixteen half-byte steps."""
+    return (f"xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split({value}, ''), "
+            "lambda c: [ascii(c) & 15, ascii(c) >> 4]))), lambda a, x: xor(a >> 4, t[(xor(a, x) & 15) + 1])), 4294967295)")
+
+
+_CRC_TABLE = """tab AS (SELECT list_transform(range(16), lambda i: list_reduce([i, 0, 0, 0, 0], lambda a, z:
+  CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS t)"""
+
+
+def _encoded_sql(text: str) -> str:
+    return " || ".join(f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c} END"
+                       for c in ("doc_id", "source", "lang", "n_chars", text))
+
+
+def _levels_sql(name: str, group: str, start: str) -> str:
+    """Nodes and their siblings of the trees that grow from ``start`` (group, pos, digest, n)."""
+    return f"""{name}({group}, lvl, pos, digest, n) AS (SELECT {group}, 0, pos, digest, n FROM {start} UNION ALL
+  SELECT {group}, lvl + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (n + 2) // 3 FROM {name} WHERE n > 1
+  GROUP BY {group}, lvl + 1, pos // 3, (n + 2) // 3),
+{name}_sib AS (SELECT a.{group}, a.lvl, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') || ',' ||
+  coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS sib
+  FROM {name} a LEFT JOIN {name} b ON a.{group} IS NOT DISTINCT FROM b.{group} AND a.lvl = b.lvl AND a.pos // 3 = b.pos // 3 AND a.pos <> b.pos
+  WHERE a.n > 1 GROUP BY a.{group}, a.lvl, a.pos)"""
+
+
+MERKLE = f"""
+WITH RECURSIVE {_CRC_TABLE},
+hashed AS (SELECT doc_id, source, sha256({_encoded_sql('text')}) AS leaf, CASE WHEN {_crc_sql('doc_id::VARCHAR')} % 2 = 0
+  THEN sha256({_encoded_sql("replace(text, chr(10), '')").replace("WHEN replace(text, chr(10), '') IS", "WHEN text IS")}) END AS claim
+  FROM documents, tab),
+leaves AS (SELECT *, leaf AS digest, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+  count(*) OVER (PARTITION BY source) AS n FROM hashed),
+{_levels_sql('low', 'source', 'leaves')},
+subs AS (SELECT 0 AS one, source, digest, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM low WHERE n = 1),
+{_levels_sql('high', 'one', 'subs')},
+path_low AS (SELECT d.source, d.pos, list(sib ORDER BY lvl) FILTER (sib IS NOT NULL) AS path FROM leaves d LEFT JOIN low_sib s
+  ON d.source IS NOT DISTINCT FROM s.source AND s.pos = d.pos // (3 ** s.lvl)::BIGINT GROUP BY d.source, d.pos),
+path_high AS (SELECT d.source, d.digest AS subroot, list(sib ORDER BY lvl) FILTER (sib IS NOT NULL) AS path FROM subs d LEFT JOIN high_sib s
+  ON s.pos = d.pos // (3 ** s.lvl)::BIGINT GROUP BY d.source, d.digest),
+paths AS (SELECT l.doc_id, l.leaf, coalesce(l.claim, l.leaf) AS claim, subroot, (SELECT digest FROM high WHERE n = 1) AS root,
+  list_concat(a.path, b.path) AS path
+  FROM leaves l JOIN path_low a ON l.source IS NOT DISTINCT FROM a.source AND l.pos = a.pos
+  JOIN path_high b ON l.source IS NOT DISTINCT FROM b.source),
+folds AS (SELECT *, list_reduce(list_prepend(claim, path), lambda a, x: sha256(split_part(x, ',', 1) || a || split_part(x, ',', 2))) AS folded_root FROM paths)
+SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(path, ''), ',', '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM folds"""
+
 ORACLES = {
+    "op12_merkle_manifest": MERKLE,
     "op4_sharding": SHARDING,
     "op5_chat_formatting": CHAT,
     "op6_source_mixing": MIXING,

@@ -10,6 +10,7 @@ from tidemark.llm.common import table
 from tidemark.llm.fuzzy_lines import fuzzy_lines
 from tidemark.llm.grace_dedup import exact_groups
 from tidemark.llm.hash_tree_sharding import shard_rows
+from tidemark.llm.merkle_manifest import manifest_report
 from tidemark.llm.ngram_join import jaccard_groups
 from tidemark.llm.oracles import ORACLES
 from tidemark.llm.page_diff import extract_main
@@ -64,6 +65,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_lines(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_ngram_jaccard_join, op3_best_fit_packing, op4_sharding, op5_chat_formatting,
-    op6_source_mixing, op7_html_extraction, op8_exact_dedup, op9_quality_rules, op10_line_dedup)}
+    op6_source_mixing, op7_html_extraction, op8_exact_dedup, op9_quality_rules, op10_line_dedup,
+    op12_merkle_manifest)}
