@@ -18,6 +18,7 @@ from tidemark.llm.poisson_mixing import mix_sources
 from tidemark.llm.preference_chat import neighbours, preference_pairs
 from tidemark.llm.quality_rules import quality_report
 from tidemark.llm.suffix_dedup import repeated_bytes
+from tidemark.llm.toxicity import toxicity_report
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -69,7 +70,11 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_report(table(spark, sf_dir, "documents"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_ngram_jaccard_join, op3_best_fit_packing, op4_sharding, op5_chat_formatting,
     op6_source_mixing, op7_html_extraction, op8_exact_dedup, op9_quality_rules, op10_line_dedup,
-    op12_merkle_manifest)}
+    op12_merkle_manifest, op13_toxicity)}
