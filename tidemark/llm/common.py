@@ -107,8 +107,8 @@ def unit(*parts: Column) -> Column:
 
 
 def running(df: DataFrame, keys: Sequence[str], chunk: Column, order: Sequence[str | Column],
-            sums: dict[str, Column]) -> DataFrame:
-    """Exclusive running sums within ``keys``, in the order of (``chunk``, ``order``).
+            sums: dict[str, Column], kind: str = "long") -> DataFrame:
+    """Exclusive running sums within ``keys``, in the order of (``chunk``, ``order``), as ``kind``.
 
     ``chunk`` must not fall as the order rises. Each (keys, chunk) is summed in a
     task of its own and only the totals of the chunks are run through per key, so a
@@ -132,7 +132,7 @@ def running(df: DataFrame, keys: Sequence[str], chunk: Column, order: Sequence[s
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     return own.join(totals, same, "left").select(
-        *df.columns, *[(F.col(f"_o_{n}") + F.col(f"_i_{n}")).cast("long").alias(n) for n in sums])
+        *df.columns, *[(F.col(f"_o_{n}") + F.col(f"_i_{n}")).cast(kind).alias(n) for n in sums])
 
 
 def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:

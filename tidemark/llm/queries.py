@@ -16,6 +16,7 @@ from tidemark.llm.oracles import ORACLES
 from tidemark.llm.page_diff import extract_main
 from tidemark.llm.poisson_mixing import mix_sources
 from tidemark.llm.preference_chat import neighbours, preference_pairs
+from tidemark.llm.prefix_trie import conversation_trie
 from tidemark.llm.quality_rules import quality_report
 from tidemark.llm.suffix_dedup import repeated_bytes
 from tidemark.llm.toxicity import toxicity_report
@@ -66,6 +67,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_lines(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_report(table(spark, sf_dir, "documents"))
 
@@ -77,4 +82,4 @@ def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_ngram_jaccard_join, op3_best_fit_packing, op4_sharding, op5_chat_formatting,
     op6_source_mixing, op7_html_extraction, op8_exact_dedup, op9_quality_rules, op10_line_dedup,
-    op12_merkle_manifest, op13_toxicity)}
+    op11_conversation_prefix_trie, op12_merkle_manifest, op13_toxicity)}
