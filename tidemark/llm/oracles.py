@@ -159,7 +159,29 @@ paths AS (SELECT l.doc_id, l.leaf, coalesce(l.claim, l.leaf) AS claim, subroot,
 folds AS (SELECT *, list_reduce(list_prepend(claim, path), lambda a, x: sha256(split_part(x, ',', 1) || a || split_part(x, ',', 2))) AS folded_root FROM paths)
 SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(path, ''), ',', '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM folds"""
 
+TRIE = f"""
+WITH {_CRC_TABLE},
+turns AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL),
+marked AS (SELECT c, turn, length(text) AS chars, substr(sha256(strlen(role) || ':' || role || strlen(text) || ':' || text), 1, 32) AS mark FROM turns),
+placed AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, mark) - 1 AS pos FROM marked),
+convs AS (SELECT c, count(*) AS size, c - c % 100 AS base FROM turns GROUP BY c),
+heads AS (SELECT v.*, {_crc_sql('v.c::VARCHAR')} % 6 AS h, coalesce(w.size, 0) AS base_size FROM tab, convs v LEFT JOIN convs w ON v.base = w.c),
+rebuilt AS (SELECT v.c, pos + 1 AS d, mark, chars FROM heads v JOIN placed p ON p.c = v.base WHERE pos < h
+  UNION ALL SELECT v.c, pos - h + least(h, base_size) + 1, mark, chars FROM heads v JOIN placed p ON p.c = v.c WHERE pos >= h),
+seqs AS (SELECT convs.c, coalesce(list(mark ORDER BY d) FILTER (mark IS NOT NULL), []) AS marks,
+  coalesce(list(chars ORDER BY d) FILTER (mark IS NOT NULL), []) AS chars FROM convs LEFT JOIN rebuilt USING (c) GROUP BY convs.c),
+steps AS (SELECT *, unnest(range(0, len(marks) + 1)) AS d FROM seqs),
+nodes AS (SELECT d, md5(array_to_string(marks[:d], '')) AS k, md5(array_to_string(marks[:d - 1], '')) AS up, any_value(marks[:d]) AS marks,
+  min(c) AS conv_id, count(*) AS n_convs, coalesce(any_value(chars[d]), 0) * (count(*) - 1) AS own,
+  sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(marks) = d), '')) AS ends_sha256 FROM steps GROUP BY 1, 2, 3),
+kids AS (SELECT d - 1 AS d, up AS k, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+lines AS (SELECT n.*, unnest(range(0, d + 1)) AS top, n_children FROM nodes n LEFT JOIN kids USING (d, k)),
+under AS (SELECT top AS d, md5(array_to_string(marks[:top], '')) AS k, count(*) FILTER (n_children IS NULL) AS n_leaves, sum(own) AS saved FROM lines GROUP BY 1, 2)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN under USING (d, k) LEFT JOIN kids USING (d, k) LEFT JOIN nodes p ON p.d = n.d - 1 AND p.k = n.up"""
+
 ORACLES = {
+    "op11_conversation_prefix_trie": TRIE,
     "op12_merkle_manifest": MERKLE,
     "op4_sharding": SHARDING,
     "op5_chat_formatting": CHAT,
