@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from tidemark.llm.common import batches_of, rows_of, scope, ship_package, writte
 #: 2**18 weights: one MB for every task, at any number of documents.
 BITS = 18
 #: Bounds of the training sample: labelled rows, half of them toxic where there are as many, and their features in all.
-MOST_ROWS, MOST_FEATURES = 20_000, 16_000_000
+MOST_ROWS, MOST_FEATURES = 10_000, 6_000_000
 _WORD = re.compile(r"[^\W_]+")
 #: Initial letters that count as features beside the whole word, for stems that take many endings.
 _STEMS = (4, 5, 6)
@@ -97,18 +98,22 @@ class Examples:
 
     @staticmethod
     def of(rows: Sequence[tuple[Sequence[int], int, Sequence[Sequence[int]]]]) -> Examples:
-        """From (ids, label, counterfactuals); a counterfactual lists i for an added bucket i, -i - 1 for a removed one."""
-        def flat(lists):
-            sizes = np.array([len(x) for x in lists], np.int64)
-            values = np.concatenate([np.asarray(x, np.int64) for x in lists]) if len(lists) else np.zeros(0, np.int64)
-            return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), values
+        """From (ids, label, counterfactuals); a counterfactual lists i for an added bucket, -i - 1 for a removed one."""
+        shape = pa.list_(pa.int32())
+        return Examples.of_arrow(*[pa.array([r[i] for r in rows], kind) for i, kind in enumerate((shape, pa.int64(), pa.list_(shape)))])
 
-        start, ids = flat([r[0] for r in rows])
-        pairs = [(i, c) for i, r in enumerate(rows) for c in r[2] if len(c)]
-        counter_start, signed = flat([c for _, c in pairs])
-        return Examples(start, ids, np.array([r[1] for r in rows], np.float64), counter_start,
-                        np.where(signed >= 0, signed, -signed - 1), np.where(signed >= 0, 1.0, -1.0),
-                        np.array([i for i, _ in pairs], np.int64))
+    @staticmethod
+    def of_arrow(ids: pa.Array, labels: pa.Array, counters: pa.Array) -> Examples:
+        """The same from Arrow lists, without a Python object per bucket."""
+        def starts(sizes) -> np.ndarray:
+            return np.concatenate([[0], np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False))]).astype(np.int64)
+
+        pairs = pc.list_flatten(counters)
+        owners = np.repeat(np.arange(len(ids)), np.diff(starts(pc.list_value_length(counters))))
+        signed = pc.list_flatten(pairs).to_numpy(zero_copy_only=False)
+        return Examples(starts(pc.list_value_length(ids)), pc.list_flatten(ids).to_numpy(zero_copy_only=False),
+                        labels.to_numpy(zero_copy_only=False).astype(np.float64), starts(pc.list_value_length(pairs)),
+                        np.where(signed >= 0, signed, -signed - 1), np.where(signed >= 0, 1.0, -1.0), owners)
 
 
 @dataclass
@@ -255,8 +260,10 @@ def train(docs: DataFrame, labels: DataFrame, terms: str = IDENTITY_TERMS, swap_
         order = ["place", "doc_id", "n", "toxic"]
         sizes = [r["n"] for r in table.select(*order).orderBy(*order).limit(most_rows).collect()]
         fitting = int(np.searchsorted(np.cumsum(sizes), most_features, "right")) if sizes else 0
-        rows = table.orderBy(*order, "ids").limit(max(fitting, 1)).select("ids", "toxic", "counter").toArrow().to_pydict()
-    data = Examples.of(list(zip(rows["ids"], rows["toxic"], rows["counter"], strict=True)))
+        found_rows = table.orderBy(*order, "ids").limit(max(fitting, 1)).select("ids", "toxic", "counter").toArrow().combine_chunks()
+    ids, toxic, counter = (c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in found_rows.columns)
+    data = Examples.of_arrow(ids, toxic, counter)
+    del found_rows, ids, counter
     return fit(data, (found.get(0, 0), found.get(1, 0)), swap_penalty, bits=bits)
 
 
