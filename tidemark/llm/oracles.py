@@ -171,7 +171,7 @@ rebuilt AS (SELECT v.c, pos + 1 AS d, mark, chars FROM heads v JOIN placed p ON
 seqs AS (SELECT convs.c, coalesce(list(mark ORDER BY d) FILTER (mark IS NOT NULL), []) AS marks,
   coalesce(list(chars ORDER BY d) FILTER (mark IS NOT NULL), []) AS chars FROM convs LEFT JOIN rebuilt USING (c) GROUP BY convs.c),
 steps AS (SELECT *, unnest(range(0, len(marks) + 1)) AS d FROM seqs),
-nodes AS (SELECT d, md5(array_to_string(marks[:d], '')) AS k, md5(array_to_string(marks[:d - 1], '')) AS up, any_value(marks[:d]) AS marks,
+nodes AS (SELECT d, md5(array_to_string(marks[:d], '')) AS k, CASE WHEN d > 0 THEN md5(array_to_string(marks[:d - 1], '')) END AS up, any_value(marks[:d]) AS marks,
   min(c) AS conv_id, count(*) AS n_convs, coalesce(any_value(chars[d]), 0) * (count(*) - 1) AS own,
   sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(marks) = d), '')) AS ends_sha256 FROM steps GROUP BY 1, 2, 3),
 kids AS (SELECT d - 1 AS d, up AS k, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),

@@ -310,11 +310,12 @@ def _expanded(trie: Trie, weights: DataFrame, hashes: DataFrame) -> DataFrame:
     else:
         nodes, whole = trie.totals(weights)
         below = whole.where("parent is null").agg(F.count("*").alias("n_children"), F.sum("leaves").alias("n_leaves"), F.sum("saved").alias("saved_tokens"))
-    top = root.select("conv_id", F.lit(0).cast("long").alias("depth"), F.lit(None).cast("long").alias("parent_conv_id"), "n_convs")
-    # One row each: the root's own counts, what hangs on it, and its turnless conversations.
-    top = top.withColumn("_one", F.lit(1)).join(below.withColumn("_one", F.lit(1)), "_one").join(
-        empty.select(F.lit(1).alias("_one"), "ends_sha256"), "_one", "left").drop("_one").withColumn(
-        "ends_sha256", F.coalesce("ends_sha256", F.lit(NO_ENDS)))
+    # The root's own counts, what hangs on it, and its turnless conversations, stacked and put into one row.
+    top = root.unionByName(below, allowMissingColumns=True).unionByName(
+        empty.select("ends_sha256"), allowMissingColumns=True).agg(
+        F.max("conv_id").alias("conv_id"), F.lit(0).cast("long").alias("depth"), F.lit(None).cast("long").alias("parent_conv_id"),
+        *[F.max(c).alias(c) for c in ("n_convs", "n_children", "n_leaves", "saved_tokens")],
+        F.coalesce(F.max("ends_sha256"), F.lit(NO_ENDS)).alias("ends_sha256")).where("n_convs > 0")
     if not trie.paths:
         return top
     least = root.first()["conv_id"]
