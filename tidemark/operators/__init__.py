@@ -10,7 +10,7 @@ from tidemark.operators.changes import (
 )
 from tidemark.operators.latest import dedupe, latest_per_key
 from tidemark.operators.lookup import Lookup, broadcast_if_fits, enrich, lookup_columns, star_join, used_lookups
-from tidemark.operators.metrics import append_run, logged_run, rate_duration, run_metrics
+from tidemark.operators.metrics import append_run, logged_run, observed, rate_duration, run_metrics
 from tidemark.operators.quality import (
     Check,
     check_keys,
@@ -50,6 +50,6 @@ __all__ = [
     "gate", "high_water_mark", "latest_per_key", "load_rules", "logged_run", "lookup_columns",
     "match_rate", "measure_sql", "only_changes", "only_inserts", "plain_measure", "prior_snapshot",
     "profile", "prune_prior", "rate_duration", "reconcile_hash", "reconcile_rows",
-    "reconcile_totals", "rules_frame", "run_metrics", "since_last_run", "stack_rows", "stage",
+    "observed", "reconcile_totals", "rules_frame", "run_metrics", "since_last_run", "stack_rows", "stage",
     "stamp", "standard_checks", "star_join", "status", "used_lookups",
 ]

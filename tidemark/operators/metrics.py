@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import elapsed_seconds, time_literal
@@ -37,6 +38,17 @@ def run_metrics(delta: DataFrame, process: str, execution_id: str, start, end,
         F.lit(error).cast("string").alias("ErrorMessage"))
 
 
+def observed(delta: DataFrame) -> tuple[DataFrame, Observation]:
+    """The delta and an observation that counts its rows while they are written, in place of
+    another pass over them: RecordsProcessed, RecordsInserted and RecordsUpdated, in ``observation.get``
+    after the first action. Only whole actions count: nothing that stops early may read the delta first."""
+    counts = Observation(f"run {uuid.uuid4().hex}")
+    return delta.observe(
+        counts, F.count(F.lit(1)).alias("RecordsProcessed"),
+        F.count(F.when(F.col(CLASS) == INSERTED, 1)).alias("RecordsInserted"),
+        F.count(F.when(F.col(CLASS) == UPDATED, 1)).alias("RecordsUpdated")), counts
+
+
 def rate_duration(df: DataFrame, start: str, end: str) -> DataFrame:
     """Adds execution_time_seconds and performance_rating."""
     seconds = F.col("execution_time_seconds")
@@ -58,23 +70,31 @@ def append_run(spark: SparkSession, path: str, record: dict) -> None:
 
 
 def logged_run(spark: SparkSession, path: str, process: str, execution_id: str, job,
-               write=None, start=None) -> DataFrame:
+               write=None, start=None, keep: bool = True) -> DataFrame | None:
     """Run ``job()``, which returns a delta, store it, hand it to ``write`` and log the outcome.
 
-    ``start`` defaults to now. The delta is computed once, as a table in the shared folder, which is returned. A run is logged as
+    ``start`` defaults to now. The delta is computed once, as a table in the shared folder, and counted while
+    it is written. With ``keep`` the table is returned; without, it is deleted at the end. A run is logged as
     a success after its write; a failure of either is logged with its whole message and raised again."""
     start = start or dt.datetime.now(dt.timezone.utc)
     base = {"ProcessName": process, "ExecutionId": execution_id, "StartTime": start}
+    kept = None
     try:
-        delta = stage(job(), mode="table").df
+        rows, counts = observed(job())
+        kept = stage(rows, mode="table")
         if write:
-            write(delta)
-        counted = run_metrics(delta, process, execution_id, start, start).first()
+            write(kept.df)
+        counted = counts.get
     except Exception as problem:
         append_run(spark, path, {**base, "EndTime": dt.datetime.now(dt.timezone.utc),
                                  "ExecutionStatus": "FAILED", "ErrorMessage": str(problem)})
+        if kept is not None:
+            kept.release()
         raise
     append_run(spark, path, {
         **base, "EndTime": dt.datetime.now(dt.timezone.utc),
         **{n: counted[n] for n in ("RecordsProcessed", "RecordsInserted", "RecordsUpdated")}})
-    return delta
+    if not keep:
+        kept.release()
+        return None
+    return kept.df

@@ -23,8 +23,10 @@ from tidemark.operators.rules import (
     load_rules,
     plain_measure,
 )
+from tidemark.operators.staging import stage
 from tidemark.operators.window import changed_since
 from tidemark.plans.measure_job import MeasureJob, delta_of, measured_rows
+from tidemark.sources.keyed import KeyedSnapshots
 from tidemark.sources.tables import project_output
 
 # The source type of the rules, and the aliases rule text may use.
@@ -168,14 +170,15 @@ def sample_rules() -> list[Rule]:
 
 
 def extract_claim_transactions(tables: Mapping[str, DataFrame], start, end=None,
-                               strategy: str = "auto", assume_unique: bool = False) -> DataFrame:
+                               strategy: str = "auto", assume_unique: bool = False,
+                               dim_unique: bool = False) -> DataFrame:
     """Fact lines changed since ``start``, on the line or on its transaction, with the
     composite id. ``end`` is checked against ``start`` but bounds nothing."""
     check_range(effective_start(start), end)
     fact = tables["fact_line"].select(*FACT_COLUMNS)
     changed = changed_since(fact, tables["transaction_dim"], "ClaimTransactionWCKey",
                             "LoadUpdateDate", "LoadUpdateDate", start, strategy,
-                            assume_unique=assume_unique)
+                            dim_unique=dim_unique, assume_unique=assume_unique)
     return changed.withColumn("SourceSystemIdentifier", composite_id(*KEYS))
 
 
@@ -215,21 +218,26 @@ def calculate_measures(facts: DataFrame, tables: Mapping[str, DataFrame], rules:
 
 
 def run_measures(tables: Mapping[str, DataFrame], rules: DataFrame | Sequence[Rule],
-                 prior: DataFrame | None, start, batch_ts, end=None, strict: bool = True,
+                 prior: DataFrame | KeyedSnapshots | None, start, batch_ts, end=None, strict: bool = True,
                  hash_bits: int = 512, hash_style: str = "0x", null_hash: str = "ignore",
-                 strategy: str = "auto", assume_unique: bool = False) -> DataFrame:
+                 strategy: str = "auto", assume_unique: bool = False, dim_unique: bool = False) -> DataFrame:
     """The delta of one run: inserted and updated rows in 80 columns.
 
-    ``prior`` is the stored table, or None for the first load. Applying the delta
+    ``prior`` is the stored table, or None for the first load. Of a store of slices only those with keys of
+    the changed rows are read, and only these rows are shuffled; they are written out first, as the slices
+    depend on them. ``dim_unique``: the transaction dimension holds each key once. Applying the delta
     is a separate step (``tidemark.sources.upsert``). With strict=False measures
     beyond the 57 are hashed too and follow the fixed columns.
     """
     if isinstance(rules, DataFrame):
         rules = load_rules(rules, SOURCE_TYPE)
     job = replace(JOB, hash_bits=hash_bits, hash_style=hash_style)
-    facts = extract_claim_transactions(tables, start, end, strategy, assume_unique)
+    facts = extract_claim_transactions(tables, start, end, strategy, assume_unique, dim_unique)
     rows = calculate_measures(facts, tables, rules, job, strict)
     time_type = tables["fact_line"].schema["LoadUpdateDate"].dataType
+    if isinstance(prior, KeyedSnapshots):
+        rows = stage(rows, mode="table").df
+        prior = prior.prior_of(rows)
     stored = (empty_prior(rows, KEYS, time_type=time_type) if prior is None
               else prior_snapshot(prior, KEYS))
     delta = delta_of(rows, stored, KEYS, batch_ts, null_hash, assume_unique)

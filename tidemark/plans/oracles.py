@@ -400,6 +400,7 @@ LATEST_EVENTS = """(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PAR
 ORACLES: dict[str, str] = {
     "flagship_measures_delta": FLAGSHIP,
     "claim_measures_delta": _claims("2000-01-01", first_load=False),
+    "claim_measures_pruned": _claims("2000-01-01", first_load=False),
     "claim_measures_first_load": _claims("1700-01-01", first_load=True),
     "latest_per_key_orders": f"WITH {LATEST_ORDERS} SELECT * FROM latest_orders",
     "latest_per_key_lines": f"WITH {LATEST_LINES} SELECT * FROM latest_lines",
@@ -449,6 +450,7 @@ ORACLES: dict[str, str] = {
         GROUP BY t""",
     "cdc_apply": CDC_APPLY,
     "cdc_upsert_versions": CDC_APPLY,
+    "cdc_upsert_sliced": CDC_APPLY,
     "cdc_null_hash": CDC_NULL,
     "dq_profile": f"{_BOTH} SELECT * FROM prof",
     "dq_gate": f"{_K} SELECT * FROM prof WHERE null_keys > 0 OR negative_amounts > total_records * 0.1",
@@ -466,6 +468,7 @@ ORACLES: dict[str, str] = {
     "reconcile_hash": f"{SYSTEMS} SELECT status, count(*) AS keys FROM recon GROUP BY 1",
     "expectation_table": EXPECTATIONS,
     "run_metrics": METRICS,
+    "run_metrics_observed": f"SELECT ProcessName, ExecutionId, RecordsProcessed, RecordsInserted, RecordsUpdated, ExecutionStatus, ErrorMessage FROM ({METRICS})",
     "duration_rating": DURATIONS,
     "partitioned_roundtrip": PARTITIONED,
     "clustered_roundtrip": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM lineitem",

@@ -41,6 +41,7 @@ from tidemark.operators import (
     gate,
     latest_per_key,
     load_rules,
+    logged_run,
     match_rate,
     measure_sql,
     only_changes,
@@ -68,6 +69,7 @@ from tidemark.plans.incremental import run_once
 from tidemark.plans.measure_job import MeasureJob, delta_of, measured_rows
 from tidemark.session import scratch
 from tidemark.sources import (
+    KeyedSnapshots,
     Snapshots,
     read_merged,
     read_tables,
@@ -267,6 +269,15 @@ def claim_measures_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delta.select(*claims.OUTPUT_COLUMNS)
 
 
+def claim_measures_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same delta against a stored snapshot of slices: the snapshot is not shuffled, and slices
+    without a key of the run are not read."""
+    rows = stage(claim_rows(spark, sf_dir), mode="table").df
+    store = KeyedSnapshots(spark, scratch(spark, "claims"), claims.KEYS)
+    store.upsert(claim_prior(rows))
+    return delta_of(rows, store.prior_of(rows), claims.KEYS, BATCH).select(*claims.OUTPUT_COLUMNS)
+
+
 def claim_measures_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return claims.run_measures(claim_tables(spark, sf_dir), claims.sample_rules(), None,
                                "1900-01-01", BATCH, hash_bits=256)
@@ -492,6 +503,21 @@ def cdc_upsert_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read()
 
 
+def cdc_upsert_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through a store of slices, with the delta in two parts: each rewrites its own slices only."""
+    rows = staged_lines(spark, sf_dir)
+    store = KeyedSnapshots(spark, scratch(spark, "slices"), ["k", "rev"])
+    first = stored_lines(rows).withColumn("LoadUpdateDate", first_time())
+    store.upsert(first.select(*LINE_RESULT, "LoadUpdateDate", "LoadCreateDate"))
+    for odd in (0, 1):
+        part = rows.where(F.pmod("k", F.lit(2)) == odd)
+        delta = stamp(only_changes(classify(part, store.prior_of(part), ["k", "rev"])), BATCH).drop(CLASS, LABEL)
+        with stage(delta, mode="table") as kept:
+            store.upsert(kept)
+    store.release()
+    return store.read()
+
+
 def cdc_rule_added(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same where the run has a measure that the stored version does not know yet."""
     rows = staged_lines(spark, sf_dir)
@@ -669,6 +695,14 @@ def run_metrics_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "2024-06-01 12:07:30", time_type=TimestampNTZType())
 
 
+def run_metrics_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of a run taken while its delta is written, as its log holds them."""
+    log = f"{scratch(spark, 'log')}/runs"
+    logged_run(spark, log, "sales_measures", "run_1", lambda: cdc_delta(spark, sf_dir), keep=False)
+    return spark.read.parquet(log).select("ProcessName", "ExecutionId", "RecordsProcessed", "RecordsInserted",
+                                          "RecordsUpdated", "ExecutionStatus", "ErrorMessage")
+
+
 def duration_rating(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How long each user's events of an hour took."""
     events = read_tables(spark, sf_dir)["events"]
@@ -720,6 +754,7 @@ def stream_cdc_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flagship_measures_delta": flagship_measures_delta,
     "claim_measures_delta": claim_measures_delta,
+    "claim_measures_pruned": claim_measures_pruned,
     "claim_measures_first_load": claim_measures_first_load,
     "latest_per_key_orders": latest_orders,
     "latest_per_key_lines": latest_lines,
@@ -746,6 +781,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cdc_inserts": cdc_inserts,
     "cdc_apply": cdc_apply,
     "cdc_upsert_versions": cdc_upsert_versions,
+    "cdc_upsert_sliced": cdc_upsert_sliced,
     "cdc_rule_added": cdc_rule_added,
     "incremental_runs": incremental_runs,
     "cdc_null_hash": cdc_null_hash,
@@ -761,6 +797,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reconcile_hash": reconcile_hash_lines,
     "expectation_table": expectation_table,
     "run_metrics": run_metrics_lines,
+    "run_metrics_observed": run_metrics_observed,
     "duration_rating": duration_rating,
     "partitioned_roundtrip": partitioned_roundtrip,
     "clustered_roundtrip": clustered_roundtrip,

@@ -1,3 +1,5 @@
+from tidemark.sources.commits import CommitConflict, CommitLog
+from tidemark.sources.keyed import KeyedSnapshots
 from tidemark.sources.sinks import (
     clustered,
     with_partition_columns,
@@ -17,7 +19,7 @@ from tidemark.sources.tables import (
 )
 
 __all__ = [
-    "Snapshots", "clustered", "is_first_load", "load_settings", "project_output",
+    "CommitConflict", "CommitLog", "KeyedSnapshots", "Snapshots", "clustered", "is_first_load", "load_settings", "project_output",
     "read_if_there", "read_merged", "read_pair", "read_tables", "upsert",
     "with_partition_columns", "write_clustered", "write_overwrite", "write_partitioned",
 ]

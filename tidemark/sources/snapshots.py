@@ -1,8 +1,8 @@
 """Snapshots of a table as numbered versions of plain parquet.
 
 A version is a folder of its own with a name nobody else takes, never the one being read. It
-counts only when its row is in the version list, which is appended after the data: a run
-that dies half-way leaves the last version in force.
+counts only once its commit file is there, which only one writer can create and which comes after
+the data: a run that dies half-way leaves the last version in force.
 """
 
 from __future__ import annotations
@@ -11,39 +11,28 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.operators.changes import apply_delta
 from tidemark.session import remove
+from tidemark.sources.commits import CommitConflict, CommitLog
 from tidemark.sources.sinks import clustered
-from tidemark.sources.tables import read_if_there
 
 
 class Snapshots:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-
-    def listed(self) -> DataFrame | None:
-        """version, folder and run of every commit; of two with one number the first folder counts."""
-        found = read_if_there(self.spark, f"{self.root}/versions")
-        if found is None:
-            return None
-        return found.groupBy("version").agg(F.min("folder").alias("folder"), F.min_by("run", "folder").alias("run"))
+        self.commits = CommitLog(spark, f"{self.root}/commits")
 
     def path(self, version: int) -> str:
-        row = self.listed().where(F.col("version") == version).first()
-        if row is None:
+        record = self.commits.record(version) if version in self.commits.numbers() else None
+        if record is None:
             raise ValueError(f"no version {version} below {self.root}")
-        return f"{self.root}/data/{row['folder']}"
+        return f"{self.root}/data/{record['folder']}"
 
     def version(self, below: int | None = None) -> int | None:
         """The latest complete version, optionally among those below a number."""
-        listed = read_if_there(self.spark, f"{self.root}/versions")
-        if listed is None:
-            return None
-        if below is not None:
-            listed = listed.where(F.col("version") < below)
-        return listed.agg(F.max("version")).first()[0]
+        found = self.commits.latest(below)
+        return None if found is None else found[0]
 
     def read(self, version: int | None = None) -> DataFrame | None:
         """A version, by default the latest; None before the first commit."""
@@ -51,42 +40,57 @@ class Snapshots:
         return None if version is None else self.spark.read.parquet(self.path(version))
 
     def commit(self, df: DataFrame, version: int | None = None, keys: Sequence[str] = (),
-               partitions: int = 0, run: str | None = None) -> int:
+               partitions: int = 0, run: str | None = None, base: int | None = None) -> int:
         """Write a version and put it in force. With ``partitions``, laid out by key.
 
         A number that is not above the latest one is an error, unless ``run`` is the
         name under which that number was committed: a replay, which changes nothing. So is
-        losing a race with another writer for a number; the loser's rows do not count.
+        losing a race with another writer for a number; the loser's rows do not count. ``base`` is
+        the version the rows were made from: an error if another one has come since.
         """
+        free = self.commits.settled()
         latest = self.version()
         if version is None:
-            version = 0 if latest is None else latest + 1
-        elif latest is not None and version <= latest:
-            before = self.listed().where(F.col("version") == version).first()
+            version = free if base is None else base + 1
+        if version < free:
+            before = self.commits.record(version) if version in self.commits.numbers() else None
             if run is not None and before is not None and before["run"] == run:
                 return version
+            if base is not None and latest != base:
+                raise CommitConflict(f"version {latest} of {self.root} came after {base}, which the rows were made from")
             raise ValueError(f"version {version} is not above the stored {latest} in {self.root}")
+        if base is not None and latest != base:
+            raise CommitConflict(f"version {latest} of {self.root} came after {base}, which the rows were made from")
         folder = f"v{version:012d}-{uuid.uuid4().hex}"
         if partitions:
             df = clustered(df, keys, partitions)
         df.write.parquet(f"{self.root}/data/{folder}")
-        (self.spark.createDataFrame([(version, folder, run)], "version long, folder string, run string")
-             .coalesce(1).write.mode("append").parquet(f"{self.root}/versions"))
-        if not self.path(version).endswith(folder):
-            raise RuntimeError(f"version {version} of {self.root} was taken by another run")
+        try:
+            if base is not None and self.version() != base:
+                raise CommitConflict(f"another version of {self.root} came after {base}, which the rows were made from")
+            self.commits.add(version, {"folder": folder, "run": run, "base": latest})
+        except CommitConflict:
+            remove(self.spark, f"{self.root}/data/{folder}")
+            raise
         return version
 
     def retire(self, keep: int = 7) -> list[int]:
         """Delete the data of all but the last ``keep`` versions; their numbers stay taken."""
-        old = self.listed().orderBy(F.desc("version")).offset(keep).collect()
-        for row in old:
-            remove(self.spark, f"{self.root}/data/{row['folder']}")
-        return [row["version"] for row in old]
+        numbers = [n for n in self.commits.numbers() if self.commits.record(n) is not None]
+        for number in numbers[keep:]:
+            remove(self.spark, self.path(number))
+        return numbers[keep:]
 
 
 def upsert(store: Snapshots, delta: DataFrame, keys: Sequence[str], version: int | None = None,
            partitions: int = 0, run: str | None = None) -> int:
-    """Apply a delta as the next version: rows of its keys are replaced or added."""
-    current = store.read()
-    rows = delta if current is None else apply_delta(current, delta, keys)
-    return store.commit(rows, version, keys, partitions, run)
+    """Apply a delta as the next version: rows of its keys are replaced or added.
+
+    The next version is numbered from the one that was read, so another writer in between is an
+    error (``CommitConflict``), and the rows of neither are lost. The caller may try again.
+    """
+    base = store.version()
+    if base is None:
+        return store.commit(delta, 0 if version is None else version, keys, partitions, run)
+    rows = apply_delta(store.read(base), delta, keys)
+    return store.commit(rows, version, keys, partitions, run, base=base)
