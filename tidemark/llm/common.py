@@ -58,6 +58,11 @@ class scope:
             outer.folders[table._folder] = spark
         return table
 
+    def detach(self) -> dict[str, SparkSession]:
+        """The folders that are left, which the caller removes later in place of this scope."""
+        left, self.folders = self.folders, {}
+        return left
+
     def __exit__(self, *_: object) -> None:
         _open.remove(self)
         for folder, spark in self.folders.items():

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import drop, scope, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -19,7 +19,7 @@ def components(edges: DataFrame) -> DataFrame:
     keys adaptive execution splits, and each step is a table in the shared folder.
     """
     both = edges.where("a <> b")
-    now = written(both.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+    now = written(both.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "star-links")
     mark = None
     while True:
         sides = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -28,11 +28,13 @@ def components(edges: DataFrame) -> DataFrame:
         large = sides.join(least, F.col("u") == F.col("w")).where("v > u").select(
             F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = written(large, "large-star")
+        drop(now)
         least = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), "m")
         small = large.join(least, F.col("u") == F.col("w")).select(
             F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         now = written(small.where("u <> v").unionAll(least.select(F.col("w").alias("u"), F.col("m").alias("v"))).distinct(),
                       "small-star")
+        drop(large)
         state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if state == mark:
             break
@@ -56,7 +58,7 @@ def link_items(members: DataFrame, attributes: list[str], pairs_of: Callable[[Da
     comes first: what it links to a component is not compared with all others of that. Then
     all members do, but for the pairs checked before.
     """
-    joined, checked, links = None, [], []
+    joined, checked, links, spent = None, [], [], []
 
     def placed() -> DataFrame:
         if joined is None:
@@ -69,6 +71,8 @@ def link_items(members: DataFrame, attributes: list[str], pairs_of: Callable[[Da
         for old in checked:
             pairs = pairs.join(old, ["a", "b"], "left_anti")
         pairs = written(pairs, f"{label}-pairs")
+        drop(*spent)
+        spent.clear()
         if pairs.isEmpty():
             return False
         checked.append(pairs)
@@ -76,7 +80,8 @@ def link_items(members: DataFrame, attributes: list[str], pairs_of: Callable[[Da
         return not links[-1].isEmpty()
 
     def renewed() -> DataFrame:
-        return written(components(reduce(DataFrame.unionAll, links)), "components")
+        with scope() as here:
+            return here.keep(written(components(reduce(DataFrame.unionAll, links)), "components"))
 
     for choices in pivots:
         ranked = placed().withColumn("_o", F.xxhash64("item", F.pmod("key", F.lit(choices))))
@@ -88,7 +93,7 @@ def link_items(members: DataFrame, attributes: list[str], pairs_of: Callable[[Da
     part = F.pmod(F.xxhash64("item", F.lit("slice")), F.lit(slices))
     # The last round leaves no member out: the links of the first may have changed which side of a pair leads.
     for share in (part == 0, F.lit(True)):
-        raw = _across(placed(), attributes, share)
+        raw = _across(placed(), attributes, share, spent)
         if check(raw, "cross"):
             joined = renewed()
     if joined is None:
@@ -96,12 +101,15 @@ def link_items(members: DataFrame, attributes: list[str], pairs_of: Callable[[Da
     return joined
 
 
-def _across(placed: DataFrame, attributes: list[str], share: Column) -> DataFrame:
-    """Raw pairs of different components, the first side from a share of the members."""
+def _across(placed: DataFrame, attributes: list[str], share: Column, spent: list[DataFrame]) -> DataFrame:
+    """Raw pairs of different components, the first side from a share of the members. ``spent`` gets
+    the tables that nothing reads once these pairs are written."""
     sizes = written(placed.groupBy("key", "_c").agg(F.count("*").alias("_n")), "key-components")
     largest = sizes.groupBy("key").agg(F.max("_n").alias("_n"), F.count("*").alias("_k")).where("_k > 1").drop("_k")
     largest = sizes.join(largest, ["key", "_n"]).groupBy("key").agg(F.min("_c").alias("_big"))
     open_keys = written(placed.join(largest, "key"), "open-keys")
+    drop(sizes)
+    spent.append(open_keys)
     rest = open_keys.where("_c <> _big").select("key", F.col("item").alias("_x"), F.col("_c").alias("_xc"), *[
         F.col(c).alias(f"_x_{c}") for c in attributes])
     return open_keys.where(share).join(rest, "key").where("_c <> _xc and (_c = _big or item < _x)")

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, UPPER, batches_of, rows_of, ship_package, written
+from tidemark.llm.common import LOWER, UPPER, batches_of, rows_of, scope, ship_package, written
 
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 #: Content one table may hold, and the mean content of one partition; the second is
@@ -125,8 +125,14 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", row:
 
 
 def keep_one_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns as they are."""
-    marked = written(docs.withColumn("_grace_row", F.monotonically_increasing_id()), "grace-input")
-    kept = exact_groups(marked, key, text, "_grace_row").where("kept").select(
-        F.col("row").alias("_grace_row"))
+    """The rows that stay, with all their columns as they are; see ``exact_groups`` for which.
+
+    A column called ``_grace_row`` is an error. Two tables stay below the shared folder, as the result
+    reads them: the input and the numbers of the rows that stay."""
+    if "_grace_row" in docs.columns:
+        raise ValueError("the column _grace_row would be overwritten")
+    with scope() as here:
+        marked = here.keep(written(docs.withColumn("_grace_row", F.monotonically_increasing_id()), "grace-input"))
+        kept = here.keep(written(exact_groups(marked, key, text, "_grace_row").where("kept").select(
+            F.col("row").alias("_grace_row")), "grace-kept"))
     return marked.join(kept, "_grace_row", "left_semi").drop("_grace_row")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, UPPER, batches_of, ship_package, written
+from tidemark.llm.common import LOWER, UPPER, batches_of, drop, scope, ship_package, written
 from tidemark.llm.components import link_items
 from tidemark.llm.sketches import BITS, bucket_counts, levels
 
@@ -28,6 +29,9 @@ _RANDOM = np.random.Generator(np.random.PCG64(20240601))
 _BYTES = _RANDOM.integers(1, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACES = _RANDOM.integers(1, 2**63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C17 | 3
+#: Words of more bytes are hashed one by one: the sums of powers that serve for short ones are the same for long
+#: words of two letters in certain orders.
+_LONG = 32
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
@@ -62,6 +66,9 @@ def ngram_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
     up, down = _power(len(joined) + 1)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[joined] * up[:len(joined)])])
     hashes = _mixed((sums[end] - sums[begin]) * down[begin])
+    for at in np.flatnonzero(end - begin > _LONG):
+        word = joined[begin[at]:end[at]].tobytes()
+        hashes[at] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
     edges = np.searchsorted(begin, first)
     grams = np.zeros(max(0, len(hashes) - words + 1), np.uint64)
     for i in range(words):
@@ -291,6 +298,11 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
     only makes the order less sharp, never the result. N-grams are known by
     64-bit hashes, sets by a 64-bit hash of theirs.
     """
+    with scope() as here:
+        return here.keep(written(_groups(docs, key, text, words, percent, bits, bucket_postings), "ngram-groups"))
+
+
+def _groups(docs: DataFrame, key: str, text: str, words: int, percent: int, bits: int, bucket_postings: int) -> DataFrame:
     spark = docs.sparkSession
     ship_package(spark)
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -313,12 +325,15 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
         sides = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
         used = bucket_counts(sides, lambda batch: iter([np.asarray(batch.column("sig")).view(np.uint64)]), bits)
         wanted = spark.sparkContext.broadcast(np.packbits(used > 0).tobytes())
-        found = written(texts.select("text").mapInArrow(_sets(words, wanted), "sig long, grams binary"),
-                        "ngram-sets", _BATCH_ROWS).dropDuplicates(["sig"])
+        stored = written(texts.select("text").mapInArrow(_sets(words, wanted), "sig long, grams binary"),
+                         "ngram-sets", _BATCH_ROWS)
+        found = stored.dropDuplicates(["sig"])
         sets_a = found.select(F.col("sig").alias("a"), F.col("grams").alias("grams_a"))
         sets_b = found.select(F.col("sig").alias("b"), F.col("grams").alias("grams_b"))
-        return written(pairs.join(sets_a, "a").join(sets_b, "b").select("a", "b", "grams_a", "grams_b").mapInArrow(
+        links = written(pairs.join(sets_a, "a").join(sets_b, "b").select("a", "b", "grams_a", "grams_b").mapInArrow(
             _similar(percent), "a long, b long"), "ngram-links", _BATCH_ROWS)
+        drop(stored)
+        return links
 
     linked = link_items(members, ["n", "pos"], _candidates(percent), verify)
     classes = rows.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least"))
@@ -332,9 +347,21 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
 
 def keep_one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each group of linked texts, the one with the smallest key, with all
-    its columns as they are. Rows without words stay."""
+    its columns as they are. Rows without words stay. Null keys come last; of rows with one key the first stays.
+
+    A column called ``_ngram_row`` is an error. Two tables stay below the shared folder, as the result
+    reads them: the input and the numbers of the rows that stay."""
+    if "_ngram_row" in docs.columns:
+        raise ValueError("the column _ngram_row would be overwritten")
+    with scope() as here:
+        marked, kept = (here.keep(t) for t in _kept(docs, key, text))
+    return marked.join(kept, "_ngram_row", "left_semi").drop("_ngram_row")
+
+
+def _kept(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The numbered rows, and the numbers of those that stay."""
     marked = written(docs.withColumn("_ngram_row", F.monotonically_increasing_id()), "ngram-input")
     groups = jaccard_groups(marked.select(F.col("_ngram_row"), F.col(text).alias("text")), "_ngram_row", "text")
     named = groups.join(marked.select("_ngram_row", F.col(key).alias("_key")), F.col("doc_id") == F.col("_ngram_row"))
     first = named.groupBy("component_id").agg(F.min(F.struct(F.col("_key").isNull().alias("none"), "_key", "_ngram_row")).alias("top"))
-    return marked.join(first.select(F.col("top._ngram_row").alias("_ngram_row")), "_ngram_row", "left_semi").drop("_ngram_row")
+    return marked, written(first.select(F.col("top._ngram_row").alias("_ngram_row")), "ngram-kept")
