@@ -22,11 +22,14 @@ from tidemark.operators.quality import (
     status,
 )
 from tidemark.operators.recon import (
+    checksums,
+    differing_leaves,
     expect,
     match_rate,
     reconcile_hash,
     reconcile_rows,
     reconcile_totals,
+    reconcile_tree,
     stack_rows,
 )
 from tidemark.operators.rules import (
@@ -45,11 +48,11 @@ from tidemark.operators.window import changed_since, high_water_mark, since_last
 
 __all__ = [
     "Check", "Lookup", "Rule", "RuleError", "Stage", "append_run", "apply_delta", "apply_measures",
-    "broadcast_if_fits", "changed_since", "check_keys", "classify", "conditional_measure",
-    "constant_measure", "dedupe", "duplicate_keys", "empty_prior", "enrich", "expect", "fail_if",
+    "broadcast_if_fits", "changed_since", "check_keys", "checksums", "classify", "conditional_measure",
+    "constant_measure", "dedupe", "differing_leaves", "duplicate_keys", "empty_prior", "enrich", "expect", "fail_if",
     "gate", "high_water_mark", "latest_per_key", "load_rules", "logged_run", "lookup_columns",
     "match_rate", "measure_sql", "only_changes", "only_inserts", "plain_measure", "prior_snapshot",
     "profile", "prune_prior", "rate_duration", "reconcile_hash", "reconcile_rows",
-    "observed", "reconcile_totals", "rules_frame", "run_metrics", "since_last_run", "stack_rows", "stage",
+    "observed", "reconcile_totals", "reconcile_tree", "rules_frame", "run_metrics", "since_last_run", "stack_rows", "stage",
     "stamp", "standard_checks", "star_join", "status", "used_lookups",
 ]

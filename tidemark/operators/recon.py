@@ -14,7 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.staging import stage
+
 _LEFT = "_is_left"
+_LEAF = "_leaf"
 
 
 def _stack(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -91,6 +94,67 @@ def reconcile_hash(left: DataFrame, right: DataFrame, keys: Sequence[str],
             .groupBy("status").agg(F.count("*").alias("keys")))
 
 
+def _with_leaf(rows: DataFrame, keys: Sequence[str], leaves: int) -> DataFrame:
+    return rows.withColumn(_LEAF, F.pmod(F.xxhash64(*_marked(keys)), F.lit(leaves)).cast("int"))
+
+
+def _marked(columns: Sequence[str]) -> list:
+    """Columns with a mark for NULL each: a hash skips NULLs, so that they would not keep their place."""
+    return [c for name in columns for c in (F.col(name), F.col(name).isNull())]
+
+
+def checksums(rows: DataFrame, keys: Sequence[str], compare: Sequence[str], leaves: int = 65_536) -> DataFrame:
+    """Order-free checksums of a table: leaf, n, sum_a, sum_b, one row per leaf that has rows.
+
+    A key belongs to one leaf by its hash. The sums are those of two 64-bit hashes of each row, so copies
+    count. At most ``leaves`` rows come out, whatever the table's size: a system can keep them or send
+    them. Both sides must hold the columns in the same types, as hashes depend on them.
+    """
+    hashes = [F.xxhash64(F.lit(salt), *_marked([*keys, *compare])).cast("decimal(20,0)") for salt in ("a", "b")]
+    return _with_leaf(rows, keys, leaves).groupBy(F.col(_LEAF).alias("leaf")).agg(
+        F.count("*").alias("n"), F.sum(hashes[0]).alias("sum_a"), F.sum(hashes[1]).alias("sum_b"))
+
+
+def differing_leaves(left: DataFrame, right: DataFrame, branches: int = 256) -> DataFrame:
+    """The leaves of two tables of ``checksums`` that differ, found from ``branches`` coarse sums down."""
+    names = ("n", "sum_a", "sum_b")
+    signed = left.select("leaf", *names).unionByName(right.select("leaf", *[(-F.col(c)).alias(c) for c in names]))
+    signed = signed.withColumn("branch", F.pmod("leaf", F.lit(branches)))
+
+    def unequal(*by: str) -> DataFrame:
+        # Differences: a leaf on one side only has the other's sums missing, not NULL.
+        return signed.groupBy(*by).agg(*[F.sum(c).alias(c) for c in names]).where("n <> 0 or sum_a <> 0 or sum_b <> 0")
+
+    coarse = [r[0] for r in unequal("branch").select("branch").collect()]
+    signed = signed.where(F.col("branch").isin(coarse))
+    return unequal("leaf").select("leaf")
+
+
+def reconcile_tree(left: DataFrame, right: DataFrame, keys: Sequence[str], compare: Sequence[str],
+                   leaves: int = 65_536, branches: int = 256, left_sums: DataFrame | None = None,
+                   right_sums: DataFrame | None = None) -> DataFrame:
+    """The rows of ``reconcile_rows`` that are not matched, comparing rows only where checksums differ.
+
+    Each side is read for its ``checksums`` (or stored ones with the same keys, columns, types and
+    ``leaves`` are given), which leaves at most ``leaves`` rows to shuffle. Only rows of leaves that
+    differ are shuffled and compared; those leaves are broadcast, as their number is bounded. Two tables
+    with equal rows in another order shuffle nothing else. Rows pass unseen only if the sums of both hashes agree.
+    """
+    columns = [*keys, *compare]
+    kinds = _stack(left, right, columns).schema
+    sides = [df.select(*[F.col(c).cast(kinds[c].dataType).alias(c) for c in columns]) for df in (left, right)]
+    sums = [checksums(side, keys, compare, leaves) if known is None else known
+            for side, known in zip(sides, (left_sums, right_sums), strict=True)]
+    stages = [stage(s, mode="table") for s in sums]  # read for the branches, then for the leaves
+    numbers = sorted(r[0] for r in differing_leaves(*[s.df for s in stages], branches=branches).collect())
+    for kept in stages:
+        kept.release()
+    spark = left.sparkSession
+    wanted = F.broadcast(spark.createDataFrame([(n,) for n in numbers], f"{_LEAF} int"))
+    parts = [_with_leaf(side, keys, leaves).join(wanted, _LEAF, "left_semi").select(*columns) for side in sides]
+    return reconcile_rows(*parts, keys, compare).where("status <> 'matched'")
+
+
 def expect(actual: DataFrame, expected: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Expected against actual value per key, PASS or FAIL; NULL equals NULL.
 

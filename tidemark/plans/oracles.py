@@ -403,10 +403,16 @@ ORACLES: dict[str, str] = {
     "claim_measures_pruned": _claims("2000-01-01", first_load=False),
     "claim_measures_first_load": _claims("1700-01-01", first_load=True),
     "latest_per_key_orders": f"WITH {LATEST_ORDERS} SELECT * FROM latest_orders",
+    "latest_orders_incremental": f"WITH {LATEST_ORDERS} SELECT * FROM latest_orders",
     "latest_per_key_lines": f"WITH {LATEST_LINES} SELECT * FROM latest_lines",
     "latest_event_per_user": f"SELECT * FROM {LATEST_EVENTS}",
     "changed_either_side_or": CHANGED.format(start="2000-01-01"),
     "changed_either_side_union": CHANGED.format(start="2000-01-01"),
+    "changed_since_partitioned": f"""WITH {LATEST_LINES}
+        SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_shipdate, CAST(year(l.l_shipdate) AS INTEGER) AS year,
+               CAST(month(l.l_shipdate) AS INTEGER) AS month
+        FROM latest_lines l JOIN orders o ON l.l_orderkey = o.o_orderkey
+        WHERE l.l_shipdate >= TIMESTAMP '2000-01-01' OR o.o_orderdate >= TIMESTAMP '2000-01-01'""",
     "full_load_sentinel": CHANGED.format(start="1700-01-01"),
     "since_last_run": """SELECT * FROM lineitem WHERE l_shipdate >=
         (SELECT coalesce(max(o_orderdate), TIMESTAMP '1900-01-01') FROM orders WHERE o_orderstatus = 'F')""",
@@ -463,6 +469,7 @@ ORACLES: dict[str, str] = {
     "dq_check_keys": CHECK_KEYS,
     "reconcile_totals": TOTALS,
     "reconcile_rows": f"{SYSTEMS} SELECT * FROM recon",
+    "reconcile_tree": f"{SYSTEMS} SELECT * FROM recon WHERE status <> 'matched'",
     "reconcile_repeated": REPEATED,
     "match_rate": MATCH_RATE,
     "reconcile_hash": f"{SYSTEMS} SELECT status, count(*) AS keys FROM recon GROUP BY 1",
@@ -472,6 +479,7 @@ ORACLES: dict[str, str] = {
     "duration_rating": DURATIONS,
     "partitioned_roundtrip": PARTITIONED,
     "clustered_roundtrip": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM lineitem",
+    "zorder_roundtrip": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM lineitem",
     "stream_cdc": f"""SELECT user_id, event_id, ts, event_type, CAST(value AS {_DEC}) AS amount, props
         FROM {LATEST_EVENTS}""",
 }

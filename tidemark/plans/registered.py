@@ -54,6 +54,7 @@ from tidemark.operators import (
     reconcile_hash,
     reconcile_rows,
     reconcile_totals,
+    reconcile_tree,
     rules_frame,
     run_metrics,
     since_last_run,
@@ -69,6 +70,7 @@ from tidemark.plans.incremental import run_once
 from tidemark.plans.measure_job import MeasureJob, delta_of, measured_rows
 from tidemark.session import scratch
 from tidemark.sources import (
+    CurrentState,
     KeyedSnapshots,
     Snapshots,
     read_merged,
@@ -76,6 +78,7 @@ from tidemark.sources import (
     upsert,
     write_clustered,
     write_partitioned,
+    write_zordered,
 )
 from tidemark.streaming import ChangeLog, stream_cdc
 
@@ -103,6 +106,18 @@ def latest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                           where="o_orderpriority <> '5-LOW'")
 
 
+def latest_orders_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same kept up over three deliveries that overlap, the last one first: late versions lose,
+    repeated ones change nothing."""
+    orders = read_tables(spark, sf_dir)["orders"]
+    state = CurrentState(spark, scratch(spark, "current"), ["o_custkey", "o_orderstatus"],
+                         ["o_orderdate desc", "o_orderkey desc"], where="o_orderpriority <> '5-LOW'", slices=4, buckets=4)
+    year = F.year("o_orderdate")
+    for run, part in enumerate([year >= 1999, year < 1996, year.between(1995, 1999)]):
+        state.merge(orders.where(part), run=f"delivery {run}")
+    return state.read()
+
+
 def latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(read_tables(spark, sf_dir)["events"], ["user_id"],
                           ["ts desc", "event_id desc"])
@@ -299,6 +314,17 @@ def changed_either_side_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _changed_lines(spark, sf_dir, START, "union")
 
 
+def changed_since_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on tables in folders by year and month: the branches of new rows list new folders only."""
+    t = read_tables(spark, sf_dir)
+    lines, orders = scratch(spark, "lines-by-month"), scratch(spark, "orders-by-month")
+    write_partitioned(latest_lines(spark, sf_dir), lines, "l_shipdate", "month")
+    write_partitioned(t["orders"].select("o_orderkey", "o_orderdate"), orders, "o_orderdate", "month")
+    rows = changed_since(spark.read.parquet(lines), spark.read.parquet(orders), ("l_orderkey", "o_orderkey"), "l_shipdate",
+                         "o_orderdate", START, "union", dim_unique=True, assume_unique=True, fact_grain="month", dim_grain="month")
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "year", "month")
+
+
 def full_load_sentinel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _changed_lines(spark, sf_dir, "1900-01-01", "auto")
 
@@ -651,6 +677,11 @@ def reconcile_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
                           LINE_KEYS, ["l_partkey", "l_suppkey", "l_shipdate"])
 
 
+def reconcile_tree_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that differ, compared only in leaves whose checksums differ."""
+    return reconcile_tree(*_two_systems(spark, sf_dir), LINE_KEYS, ["l_partkey", "l_returnflag", "amount", "l_shipdate"])
+
+
 def match_rate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match_rate(_reconciled(spark, sf_dir))
 
@@ -732,6 +763,12 @@ def clustered_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            "l_shipdate")
 
 
+def zorder_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "zordered")
+    write_zordered(read_tables(spark, sf_dir)["lineitem"], path, ["l_partkey", "l_suppkey", "l_shipdate"])
+    return spark.read.parquet(path).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+
+
 def stream_cdc_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events through a file stream in several batches, in no special order: the
     stored result is the latest event per user."""
@@ -757,10 +794,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "claim_measures_pruned": claim_measures_pruned,
     "claim_measures_first_load": claim_measures_first_load,
     "latest_per_key_orders": latest_orders,
+    "latest_orders_incremental": latest_orders_incremental,
     "latest_per_key_lines": latest_lines,
     "latest_event_per_user": latest_events,
     "changed_either_side_or": changed_either_side_or,
     "changed_either_side_union": changed_either_side_union,
+    "changed_since_partitioned": changed_since_partitioned,
     "full_load_sentinel": full_load_sentinel,
     "since_last_run": since_last_run_lines,
     "star_lookup_defaults": star_lookup_defaults,
@@ -793,6 +832,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reconcile_totals": reconcile_totals_lines,
     "reconcile_rows": reconcile_rows_lines,
     "reconcile_repeated": reconcile_repeated,
+    "reconcile_tree": reconcile_tree_lines,
     "match_rate": match_rate_lines,
     "reconcile_hash": reconcile_hash_lines,
     "expectation_table": expectation_table,
@@ -801,5 +841,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duration_rating": duration_rating,
     "partitioned_roundtrip": partitioned_roundtrip,
     "clustered_roundtrip": clustered_roundtrip,
+    "zorder_roundtrip": zorder_roundtrip,
     "stream_cdc": stream_cdc_events,
 }

@@ -20,6 +20,7 @@ from tidemark.session import remove
 from tidemark.sources.commits import CommitConflict, CommitLog
 
 _SLICE = "_slice"
+_ANY = object()
 
 
 class KeyedSnapshots:
@@ -160,12 +161,13 @@ class KeyedSnapshots:
         folder, found = self._write(rows, rows.schema)
         return self._commit(number, base, dict.fromkeys(found, folder), folder, rows.schema, run)
 
-    def upsert(self, delta: DataFrame, run: str | None = None, attempts: int = 1) -> int:
+    def upsert(self, delta: DataFrame, run: str | None = None, attempts: int = 1, base: object = _ANY) -> int:
         """Apply a delta as the next version: rows of its keys are replaced or added.
 
         Only the slices of the delta's keys are read and written; files of the others are those of the version
         before. Another writer's version in between is a ``CommitConflict``; with ``attempts`` the delta is
-        applied again to the new version. A ``run`` that was committed before changes nothing. The delta is
+        applied again to the new version. A delta made from what a version holds names it as ``base`` (None: there
+        was none), and any other latest version is a conflict. A ``run`` that was committed before changes nothing. The delta is
         read several times: pass a stored stage.
         """
         if (done := self.replayed(run)) is not None:
@@ -173,13 +175,15 @@ class KeyedSnapshots:
         while True:
             attempts -= 1
             try:
-                return self._upsert(delta, run)
+                return self._upsert(delta, run, base)
             except CommitConflict:
                 if attempts < 1:
                     raise
 
-    def _upsert(self, delta: DataFrame, run: str | None) -> int:
+    def _upsert(self, delta: DataFrame, run: str | None, expected: object) -> int:
         number, latest = self.commits.settled(), self.commits.latest()
+        if expected is not _ANY and expected != (latest and latest[0]):
+            raise CommitConflict(f"{self.root} has version {latest and latest[0]}, the delta was made from {expected}")
         if latest is None:
             folder, found = self._write(delta, delta.schema)
             return self._commit(number, None, dict.fromkeys(found, folder), folder, delta.schema, run)
