@@ -24,10 +24,11 @@ from tidemark.llm.common import batches_of, ship_package, written
 from tidemark.llm.ngram_join import _BYTES, _mixed, _power
 
 LENGTH, ANCHOR = 100, 32
-#: Phrases that a task of the parse sorts, and bytes of dictionary in a suffix array.
-BUCKET_PHRASES, BUCKET_BYTES = 300_000, 2 << 20
+#: Phrases that a task of the parse sorts, bytes of dictionary in a suffix array, and suffix arrays that a task
+#: makes one after the other.
+BUCKET_PHRASES, BUCKET_BYTES, BUCKETS_A_TASK = 300_000, 512 << 10, 16
 #: Distinct phrases of one trigger above which they are cut into single strings and dealt by content.
-HOT_PHRASES = 20_000
+HOT_PHRASES = 5_000
 _CHUNK_BYTES, _FLUSH, _BATCH_ROWS = 1 << 20, 1 << 18, 256
 _SELF = 128  # mark in the count of a phrase: a string may occur in it twice
 
@@ -221,7 +222,7 @@ def suffix_ranks(text: np.ndarray, length: int) -> np.ndarray:
     followed by zeros; only suffixes at least ``length`` long are compared rightly."""
     padded = np.concatenate([text, np.zeros(length + 8, np.uint8)])
     words = np.lib.stride_tricks.sliding_window_view(padded, 8)[:len(text) + length]
-    rank = np.unique(np.ascontiguousarray(words).view(">u8").ravel(), return_inverse=True)[1]
+    rank = np.unique(np.ascontiguousarray(words).view(">u8").astype(np.uint64).ravel(), return_inverse=True)[1]
     depth = 8
     while depth < length:
         step = min(depth, length - depth)
@@ -231,33 +232,45 @@ def suffix_ranks(text: np.ndarray, length: int) -> np.ndarray:
     return rank[:len(text)]
 
 
+def _repeats(held: list[tuple[list[np.ndarray], np.ndarray]], length: int) -> pa.RecordBatch:
+    """Runs of the strings in the phrases of one bucket that also start earlier."""
+    doc, h, lo, n = (np.concatenate(x) for x in zip(*[x[0] for x in held], strict=True))
+    rank = suffix_ranks(np.concatenate([x[1] for x in held]), length)
+    sizes = n + length - 1
+    first = np.cumsum(sizes) - sizes
+    which = np.repeat(np.arange(len(n), dtype=np.int32), n)
+    inner = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+    group, start = rank[first[which] + inner], lo[which] + inner
+    del rank, inner
+    order = np.lexsort((start, h[which], doc[which], group))
+    g, d, k, s = (x[order] for x in (group, doc[which], h[which], start))
+    head = np.concatenate([[True], g[1:] != g[:-1]])
+    lead = np.flatnonzero(head)[np.cumsum(head) - 1]
+    mark = np.zeros(len(order), bool)
+    mark[order] = ~head & ~((d == d[lead]) & (k == k[lead]) & (s == s[lead]))
+    del g, d, k, s, lead, order
+    # Strings that follow each other in a phrase go out as one run.
+    open_ = mark.copy()
+    open_[1:] &= ~mark[:-1] | (which[1:] != which[:-1])
+    head = np.flatnonzero(open_)
+    many = np.add.reduceat(mark.astype(np.int64), head) if len(head) else head
+    return _runs(0, doc[which[head]], h[which[head]], start[head], many, np.zeros(len(head), np.int64))
+
+
 def _suffix_task(length: int):
+    """One suffix array per bucket, in turn: the rows come sorted by bucket, so that a task holds one only."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
+        held, now = [], None
         for batch in batches:
-            for *numbers, data in zip(*[batch.column(c).to_pylist() for c in ("doc", "h", "lo", "n", "bytes")], strict=True):
+            for bucket, *numbers, data in zip(*[batch.column(c).to_pylist() for c in (
+                    "bucket", "doc", "h", "lo", "n", "bytes")], strict=True):
+                if held and bucket != now:
+                    yield _repeats(held, length)
+                    held = []
+                now = bucket
                 held.append(([np.frombuffer(x, np.int64) for x in numbers], np.frombuffer(data, np.uint8)))
-        if not held:
-            return
-        doc, h, lo, n = (np.concatenate(x) for x in zip(*[x[0] for x in held], strict=True))
-        rank = suffix_ranks(np.concatenate([x[1] for x in held]), length)
-        sizes = n + length - 1
-        first = np.cumsum(sizes) - sizes
-        which = np.repeat(np.arange(len(n)), n)
-        inner = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-        group, start = rank[first[which] + inner], lo[which] + inner
-        order = np.lexsort((start, h[which], doc[which], group))
-        g, d, k, s = (x[order] for x in (group, doc[which], h[which], start))
-        head = np.concatenate([[True], g[1:] != g[:-1]])
-        lead = np.flatnonzero(head)[np.cumsum(head) - 1]
-        mark = np.zeros(len(order), bool)
-        mark[order] = ~head & ~((d == d[lead]) & (k == k[lead]) & (s == s[lead]))
-        # Strings that follow each other in a phrase go out as one run.
-        open_ = mark.copy()
-        open_[1:] &= ~mark[:-1] | (which[1:] != which[:-1])
-        head = np.flatnonzero(open_)
-        many = np.add.reduceat(mark.astype(np.int64), head) if len(head) else head
-        yield _runs(0, doc[which[head]], h[which[head]], start[head], many, np.zeros(len(head), np.int64))
+        if held:
+            yield _repeats(held, length)
 
     return run
 
@@ -324,7 +337,9 @@ def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", len
         "lo", "n", "trigger", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("asked"))
     contents = rows.select("doc", "h", "text").join(wanted, ["doc", "h"]).mapInArrow(
         _dictionary_task(length, parts), "bucket int, doc binary, h binary, lo binary, n binary, bytes binary")
-    strings = written(contents.repartition(parts, "bucket").mapInArrow(_suffix_task(length), _RUNS_SQL), "string-runs", _BATCH_ROWS)
+    tasks = parts // BUCKETS_A_TASK + 1
+    dealt = contents.repartition(tasks, "bucket").sortWithinPartitions("bucket")
+    strings = written(dealt.mapInArrow(_suffix_task(length), _RUNS_SQL), "string-runs", _BATCH_ROWS)
     later = runs.where("kind = 0").unionAll(strings).select("doc", "h", "lo", "n").groupBy("doc", "h").agg(
         F.collect_list(F.struct("lo", "n")).alias("runs"))
     return rows.join(later, ["doc", "h"], "left").select("doc_id", "text", "runs").mapInArrow(
