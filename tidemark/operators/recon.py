@@ -146,9 +146,11 @@ def reconcile_tree(left: DataFrame, right: DataFrame, keys: Sequence[str], compa
     sums = [checksums(side, keys, compare, leaves) if known is None else known
             for side, known in zip(sides, (left_sums, right_sums), strict=True)]
     stages = [stage(s, mode="table") for s in sums]  # read for the branches, then for the leaves
-    numbers = sorted(r[0] for r in differing_leaves(*[s.df for s in stages], branches=branches).collect())
-    for kept in stages:
-        kept.release()
+    try:
+        numbers = sorted(r[0] for r in differing_leaves(*[s.df for s in stages], branches=branches).collect())
+    finally:
+        for kept in stages:
+            kept.release()
     spark = left.sparkSession
     wanted = F.broadcast(spark.createDataFrame([(n,) for n in numbers], f"{_LEAF} int"))
     parts = [_with_leaf(side, keys, leaves).join(wanted, _LEAF, "left_semi").select(*columns) for side in sides]
