@@ -1,7 +1,9 @@
 """Tables that operators write go again, and long words of two letters are told apart."""
 
 import os
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ import corpus_pipeline
 from tests.conftest import SMALL, rows
 from tidemark.llm.common import drop, scope, written
 from tidemark.llm.grace_dedup import keep_one_each
-from tidemark.llm.ngram_join import jaccard_groups, keep_one_per_group, ngram_sets
+from tidemark.llm.ngram_join import _BITMAP, _likely, bitmap, jaccard_groups, keep_one_per_group, ngram_sets
 from tidemark.session import shared_dir
 
 
@@ -73,3 +75,19 @@ def test_long_words_of_two_letters_in_an_order_and_its_mirror(spark, letters):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     if letters >= 1024:
         assert {r.component_id for r in jaccard_groups(docs).collect()} == {0, 1}
+
+
+def test_the_bitmap_filter_keeps_every_linked_pair(spark):
+    """Pairs at and around the bound, sets of one n-gram to thousands; what it refuses is not linked."""
+    pick, rows = random.Random(5), []
+    for size in (1, 2, 5, 20, 140, 900, 5000):
+        for share in (1.0, 0.9, 0.86, 0.85, 0.8, 0.6, 0.2, 0.0):
+            common = round(size * share)
+            ids = pick.sample(range(2**62), 2 * size - common)
+            a, b = ids[:size], ids[:common] + ids[size:]
+            linked = 100 * common >= 75 * (2 * size - common)
+            rows.append((linked, share, size, *bitmap(np.array(a, np.uint64)), size, *bitmap(np.array(b, np.uint64))))
+    names = ["linked", "share", "n", *_BITMAP, "_x_n", *[f"_x_{b}" for b in _BITMAP]]
+    got = spark.createDataFrame(rows, names).withColumn("passes", _likely(75)("", "_x_")).collect()
+    assert all(r.passes for r in got if r.linked) and any(r.linked for r in got)
+    assert not [r for r in got if r.passes and r.share <= 0.6 and 5 <= r.n <= 140]

@@ -44,7 +44,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def link_items(members: DataFrame, attributes: list[str], pairs_of: Callable[[DataFrame], DataFrame],
-               verify: Callable[[DataFrame], DataFrame], pivots: tuple[int, ...] = (4,), slices: int = 8) -> DataFrame:
+               verify: Callable[[DataFrame], DataFrame], pivots: tuple[int, ...] = (4,), slices: int = 8,
+               details: DataFrame | None = None, likely: Callable[[str, str], Column] | None = None) -> DataFrame:
     """Components of the graph of all verified pairs of items that share a key.
 
     ``members``: key, item (longs) and attributes. ``pairs_of`` turns raw pairs (a, b
@@ -56,7 +57,9 @@ def link_items(members: DataFrame, attributes: list[str], pairs_of: Callable[[Da
     *different* components that shares a key is compared: the largest component of a
     key against the rest, and the rest among themselves. One of ``slices`` shares of the members
     comes first: what it links to a component is not compared with all others of that. Then
-    all members do, but for the pairs checked before.
+    all members do, but for the pairs checked before. ``details``: one row per item, for the last rounds; with
+    them, ``likely`` gives a condition that every linked pair meets, from the prefixes of the columns of
+    either side. It keeps other pairs out of what the join there returns.
     """
     joined, checked, links, spent = None, [], [], []
 
@@ -93,7 +96,7 @@ def link_items(members: DataFrame, attributes: list[str], pairs_of: Callable[[Da
     part = F.pmod(F.xxhash64("item", F.lit("slice")), F.lit(slices))
     # The last round leaves no member out: the links of the first may have changed which side of a pair leads.
     for share in (part == 0, F.lit(True)):
-        raw = _across(placed(), attributes, share, spent)
+        raw = _across(placed(), attributes, share, spent, details, likely)
         if check(raw, "cross"):
             joined = renewed()
     if joined is None:
@@ -101,18 +104,24 @@ def link_items(members: DataFrame, attributes: list[str], pairs_of: Callable[[Da
     return joined
 
 
-def _across(placed: DataFrame, attributes: list[str], share: Column, spent: list[DataFrame]) -> DataFrame:
+def _across(placed: DataFrame, attributes: list[str], share: Column, spent: list[DataFrame],
+            details: DataFrame | None, likely: Callable[[str, str], Column] | None) -> DataFrame:
     """Raw pairs of different components, the first side from a share of the members. ``spent`` gets
     the tables that nothing reads once these pairs are written."""
+    columns = attributes if details is None else [*attributes, *[c for c in details.columns if c != "item"]]
     sizes = written(placed.groupBy("key", "_c").agg(F.count("*").alias("_n")), "key-components")
     largest = sizes.groupBy("key").agg(F.max("_n").alias("_n"), F.count("*").alias("_k")).where("_k > 1").drop("_k")
     largest = sizes.join(largest, ["key", "_n"]).groupBy("key").agg(F.min("_c").alias("_big"))
-    open_keys = written(placed.join(largest, "key"), "open-keys")
+    open_keys = placed.join(largest, "key")
+    if details is not None:
+        open_keys = open_keys.join(details, "item")
+    open_keys = written(open_keys, "open-keys")
     drop(sizes)
     spent.append(open_keys)
     rest = open_keys.where("_c <> _big").select("key", F.col("item").alias("_x"), F.col("_c").alias("_xc"), *[
-        F.col(c).alias(f"_x_{c}") for c in attributes])
-    return open_keys.where(share).join(rest, "key").where("_c <> _xc and (_c = _big or item < _x)")
+        F.col(c).alias(f"_x_{c}") for c in columns])
+    pairs = open_keys.where(share).join(rest, "key").where("_c <> _xc and (_c = _big or item < _x)")
+    return pairs if likely is None else pairs.where(likely("", "_x_"))
 
 
 def _ordered(pairs: DataFrame, attributes: list[str]) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import LOWER, UPPER, batches_of, drop, scope, ship_package, written
@@ -21,6 +22,8 @@ _CHUNK_BYTES = 1 << 20
 _BATCH_ROWS = 256
 #: Prefix n-grams a task holds while it deals them out or matches them.
 _HELD = 1 << 19
+#: Words of the bitmap of a set, of 64 bits each.
+_BITMAP = [f"b{i}" for i in range(8)]
 
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _WORD = np.ones(256, np.int8)
@@ -111,10 +114,22 @@ def needed(n: int, percent: int) -> int:
 
 # --- the passes over the texts ----------------------------------------------------------------
 
+def bitmap(grams: np.ndarray) -> list[int]:
+    """Parities of the number of n-grams in each of 512 ranges. What two bitmaps differ in, the sets differ in."""
+    places = (_mixed(grams) >> np.uint64(55)).astype(np.int64)
+    odd = (np.bincount(places, minlength=64 * len(_BITMAP)) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).tolist()
+
+
+_PROFILE = "doc_id long, sig long, n long, prefix binary, " + ", ".join(f"{b} long" for b in _BITMAP)
+
+
 def _profiles(words: int, percent: int, common):
-    """Per row: set identity and size and, once per set and task, its prefix: the
+    """Per row: set identity and size and, once per set and task, its bitmap and its prefix: the
     rarest n-grams, of which every linked set has one."""
-    schema = pa.schema([("doc_id", pa.int64()), ("sig", pa.int64()), ("n", pa.int64()), ("prefix", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("sig", pa.int64()), ("n", pa.int64()), ("prefix", pa.binary()),
+                        *[(b, pa.int64()) for b in _BITMAP]])
+    none = [None] * len(_BITMAP)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = np.frombuffer(common.value, np.uint8)
@@ -127,14 +142,15 @@ def _profiles(words: int, percent: int, common):
                 for at, grams in _sets_of(batch, words):
                     n = len(grams)
                     if not n:
-                        yield ids[at], None, 0, None
+                        yield ids[at], None, 0, None, *none
                         continue
-                    sig, prefix = signature(grams), None
+                    sig, prefix, bits = signature(grams), None, none
                     if sig not in seen:
                         seen.add(sig)
                         order = np.lexsort((grams, level[grams >> shift]))
                         prefix = grams[order[:n - needed(n, percent) + 1]].tobytes()
-                    yield ids[at], sig, n, prefix
+                        bits = bitmap(grams)
+                    yield ids[at], sig, n, prefix, *bits
 
         yield from batches_of(rows(), schema)
 
@@ -262,6 +278,17 @@ def _candidates(percent: int):
     return run
 
 
+def _likely(percent: int):
+    """Suffix filter on whole sets: a pair shares no more than half of what is left of its sizes
+    when the bits that differ are taken off. It stands inside the join, before any set is moved."""
+    def run(a: str, b: str) -> Column:
+        differ = reduce(Column.__add__, [F.bit_count(F.col(f"{a}{w}").bitwiseXOR(F.col(f"{b}{w}"))) for w in _BITMAP])
+        total = F.col(f"{a}n") + F.col(f"{b}n")
+        return (total - differ) * (100 + percent) >= total * (2 * percent)
+
+    return run
+
+
 def _similar(percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     marks = (np.arange(1, 32, dtype=np.uint64) << np.uint64(59))
@@ -312,8 +339,7 @@ def _groups(docs: DataFrame, key: str, text: str, words: int, percent: int, bits
             yield grams
 
     common = spark.sparkContext.broadcast(levels(bucket_counts(texts.select("text"), hashes, bits)).tobytes())
-    rows = written(texts.mapInArrow(_profiles(words, percent, common), "doc_id long, sig long, n long, prefix binary"),
-                   "ngram-profiles", _BATCH_ROWS)
+    rows = written(texts.mapInArrow(_profiles(words, percent, common), _PROFILE), "ngram-profiles", _BATCH_ROWS)
     prefixes = rows.where("prefix is not null").select("sig", "n", "prefix")
     postings = prefixes.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).first()[0] or 0
     buckets = int(postings // bucket_postings) + 1
@@ -335,7 +361,8 @@ def _groups(docs: DataFrame, key: str, text: str, words: int, percent: int, bits
         drop(stored)
         return links
 
-    linked = link_items(members, ["n", "pos"], _candidates(percent), verify)
+    bitmaps = rows.where("prefix is not null").select(F.col("sig").alias("item"), *_BITMAP).dropDuplicates(["item"])
+    linked = link_items(members, ["n", "pos"], _candidates(percent), verify, details=bitmaps, likely=_likely(percent))
     classes = rows.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least"))
     classes = classes.join(linked, F.col("sig") == F.col("item"), "left").select(
         "sig", "least", F.coalesce("component", "sig").alias("component"))
