@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import batches_of, scope, ship_package, written
+from tidemark.llm.common import batches_of, rows_of, scope, ship_package, written
 
 # Elements without text, elements that end a block, elements and names around the article.
 SILENT = {"head", "title", "script", "style", "noscript", "template", "iframe", "svg", "object", "select",
@@ -136,11 +136,26 @@ def common_lines(own: list, other: list) -> set[int]:
     return found
 
 
-def main_text(blocks: list[tuple[str, bool, bool]], keys: list[int], nearest: list[int] | None) -> str:
-    """The lines that stay. A marked article is taken as it is. Without one, lines
+def template_edges(own: list[int], nearest: list[int], second: list[int]) -> tuple[int, int]:
+    """Lines at the head and at the end of a marked article that are part of the site's template: aligned with a line
+    of both neighbours' articles, without a break from the edge. Neighbours that share half of the lines or more
+    are versions of one article and tell nothing; nor do two that are copies of each other."""
+    pairs = [(own, nearest), (own, second), (nearest, second)]
+    shared = [common_lines(a, b) for a, b in pairs]
+    if any(2 * len(s) >= min(len(a), len(b)) for s, (a, b) in zip(shared, pairs, strict=True)):
+        return 0, 0
+    gone = shared[0] & shared[1]
+    head = next(i for i in range(len(own)) if i not in gone)
+    return head, next(i for i in range(len(own)) if len(own) - 1 - i not in gone)
+
+
+def main_text(blocks: list[tuple[str, bool, bool]], keys: list[int], nearest: list[int] | None,
+              edges: tuple[int, int] = (0, 0)) -> str:
+    """The lines that stay. A marked article loses its ``template_edges``. Without one, lines
     shared with the nearest page go, unless all of them are shared (a copy of the page)."""
     if any(article for _, article, _ in blocks):
-        return "\n".join(text for text, article, around in blocks if article and not around)
+        lines = [text for text, article, around in blocks if article and not around]
+        return "\n".join(lines[edges[0]:len(lines) - edges[1]])
     body = {i for i, (_, _, around) in enumerate(blocks) if not around}
     shared = common_lines(keys, nearest) if nearest else set()
     if body - shared:
@@ -159,20 +174,23 @@ _BLOCK = pa.list_(pa.struct([("text", pa.string()), ("article", pa.bool_()), ("a
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The text of pages with a marked article; the blocks of the others; the keys of the lines of all."""
+    """The text of pages with a marked article; the blocks of the others; the keys of the lines of all, and of
+    those that structure alone takes."""
     schema = pa.schema([("row", pa.int64()), ("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()),
-                        ("blocks", _BLOCK), ("keys", pa.list_(pa.int64()))])
+                        ("blocks", _BLOCK), ("keys", pa.list_(pa.int64())), ("inner", pa.list_(pa.int64()))])
 
     def rows():
         for batch in batches:
             for row, page_id, url, html in zip(*[batch.column(c).to_pylist() for c in ("row", "page_id", "url", "html")], strict=True):
                 blocks = [(t.encode("utf-8", "replace").decode(), a, b) for t, a, b in page_blocks(html)]
                 keys = [_key(b[0]) for b in blocks]
-                if any(article for _, article, _ in blocks):
-                    yield row, page_id, url, main_text(blocks, keys, None), None, keys
+                marked = any(article for _, article, _ in blocks)
+                inner = [k for k, (_, article, around) in zip(keys, blocks, strict=True) if not around and article >= marked]
+                if marked:
+                    yield row, page_id, url, main_text(blocks, keys, None), None, keys, inner
                 else:
                     yield (row, page_id, url, None,
-                           [dict(zip(("text", "article", "around"), b, strict=True)) for b in blocks], keys)
+                           [dict(zip(("text", "article", "around"), b, strict=True)) for b in blocks], keys, inner)
 
     yield from batches_of(rows(), schema, size=512)
 
@@ -189,9 +207,31 @@ def _select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from batches_of(rows(), schema)
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ``template_edges`` of marked articles that have any."""
+    schema = pa.schema([("_row", pa.int64()), ("head", pa.int32()), ("tail", pa.int32())])
+
+    def rows():
+        for row, own, nearest, second in rows_of(batches, "row", "own", "near_lines", "second_lines"):
+            edges = template_edges(own, nearest, second)
+            if any(edges):
+                yield row, *edges
+
+    yield from batches_of(rows(), schema)
+
+
+def _article_edges(parsed: DataFrame, near: DataFrame) -> DataFrame:
+    """_row, head and tail: lines that a marked article loses at its edges. Only keys of lines are moved."""
+    own = parsed.where("text is not null and size(inner) > 0").select("row", F.col("inner").alias("own"))
+    rows = own.join(near.where("second is not null"), "row")
+    for c, to in (("nearest", "near_lines"), ("second", "second_lines")):
+        rows = rows.join(parsed.select(F.col("row").alias(c), F.col("inner").alias(to)), c)
+    return rows.select("row", "own", "near_lines", "second_lines").mapInArrow(_cut, "_row long, head int, tail int")
+
+
 def nearest_rows(rows: DataFrame, parts: int) -> DataFrame:
-    """(row, nearest) by URL path within each host: of the neighbours in path order the one
-    with the longer common path, the earlier one in a tie.
+    """(row, nearest, second) by URL path within each host: of the neighbours in path order the one
+    with the longer common path, the earlier one in a tie; and the other one, if it is of the host.
 
     Range partitions share out a host of any size; the rows at their edges
     look at the edge of the next partition.
@@ -219,7 +259,8 @@ def nearest_rows(rows: DataFrame, parts: int) -> DataFrame:
         "row", "prev", "next", common(F.col("prev")).alias("p"), common(F.col("next")).alias("n"))
     nearest = F.when(F.col("p").isNotNull() & (F.col("n").isNull() | (F.col("p") >= F.col("n"))), F.col("prev.row")).when(
         F.col("n").isNotNull(), F.col("next.row"))
-    return seen.select("row", nearest.alias("nearest")).where("nearest is not null")
+    second = F.when(F.col("p").isNotNull() & F.col("n").isNotNull(), F.when(F.col("p") >= F.col("n"), F.col("next.row")).otherwise(F.col("prev.row")))
+    return seen.select("row", nearest.alias("nearest"), second.alias("second")).where("nearest is not null")
 
 
 def extract_main(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
@@ -228,28 +269,34 @@ def extract_main(pages: DataFrame, key: str = "page_id", url: str = "url", html:
 
     Each page without a marked article is compared with the page of its host whose path is nearest: their
     lines are aligned by longest common subsequence and shared lines deleted. A marked article
-    (article, main, role) is not touched by that: copies and quoted passages share its lines
-    rightly; it loses only the menus, notices, comments and the like inside it.
+    (article, main, role) loses the menus, notices, comments and the like inside it. Copies and quoted
+    passages share its lines rightly, so differencing takes from it only lines at its head and end that both
+    neighbours of the host share while the articles differ otherwise; see ``template_edges``.
     Null or empty html gives an empty text. Pages without a URL share the empty host;
     repeated rows are pages of their own, compared like others. Other columns are ignored.
     ``parts``: tasks that order the pages by URL, by default one for each ``PART_ROWS`` pages.
 
-    Text of marked articles is settled when it is parsed and moves no further; blocks are stored, and
-    joined with the lines of the nearest page, for the other pages only. Two tables stay below the shared
-    folder, as the result reads them.
+    Text of marked articles is stored when it is parsed and only cut at its edges afterwards; keys alone are compared.
+    Blocks are stored, and joined with the lines of the nearest page, for the other pages only. Three tables
+    stay below the shared folder, as the result reads them.
     """
     ship_package(pages.sparkSession)
     marked = pages.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("page_id"),
                           F.col(url).alias("url"), F.col(html).alias("html"))
     with scope() as here:
         parsed = here.keep(written(marked.mapInArrow(
-            _parse, f"row long, page_id long, url string, text string, blocks {_BLOCK_SQL}, keys array<long>"), "page-lines", 512))
-        near = nearest_rows(parsed.select("row", "url"), parts or parsed.count() // PART_ROWS + 1)
-        bare = near.join(parsed.where("text is null").select("row"), "row", "left_semi")
+            _parse, f"row long, page_id long, url string, text string, blocks {_BLOCK_SQL}, keys array<long>, inner array<long>"), "page-lines", 512))
+        near = written(nearest_rows(parsed.select("row", "url"), parts or parsed.count() // PART_ROWS + 1), "page-near")
+        edges = here.keep(written(_article_edges(parsed, near), "page-edges"))
+        bare = near.select("row", "nearest").join(parsed.where("text is null").select("row"), "row", "left_semi")
         others = here.keep(written(bare.join(
             parsed.select(F.col("row").alias("nearest"), F.col("keys").alias("other")), "nearest").select(
             F.col("row").alias("_row"), "other"), "page-neighbours"))
     compared = parsed.where("text is null").join(others, F.col("row") == F.col("_row"), "left").select(
         "page_id", "url", "blocks", "keys", "other").mapInArrow(_select, "page_id long, url string, text string")
-    found = parsed.where("text is not null").select("page_id", "url", "text").unionAll(compared)
+    lines = F.split("text", "\n", -1)
+    left = F.array_join(F.slice(lines, F.col("head") + 1, F.size(lines) - F.col("head") - F.col("tail")), "\n")
+    marked = parsed.where("text is not null").join(edges, F.col("row") == F.col("_row"), "left").select(
+        "page_id", "url", F.when(F.col("head").isNull(), F.col("text")).otherwise(left).alias("text"))
+    found = marked.unionAll(compared)
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
