@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -437,6 +438,27 @@ def test_near_lines_are_found(spark):
     assert not [i for i in range(len(pairs)) if i not in near and got[2 * i] == got[2 * i + 1]]
 
 
+def test_common_features_are_counted_on_all_lines(spark):
+    """Every line counts towards what is common, whichever of them a hash would pick."""
+    from tidemark.llm import fuzzy_lines as module
+
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("alpha beta gamma delta x"), F.col("id").cast("string")).alias("text"))
+    features = module.line_features(module._lines(docs, "doc_id", "text"), 1)
+    want = Counter(h % module._RANGES for r in features.collect() for h in [*r.words, *r.grams])
+    least = max(sum(want.values()), module._LEAST_TOTAL)
+    assert list(module._levels(features)) == [want[i] * module._COMMON > least for i in range(module._RANGES)] and any(module._levels(features))
+
+
+def test_lines_leave_one_table(spark):
+    from tidemark.session import shared_dir
+
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    docs = spark.createDataFrame([(1, "one two three four five six"), (2, "one two three four five six.")], "doc_id long, text string")
+    assert sorted(r.kept for r in fuzzy_lines(docs).collect()) == [False, True]
+    assert [p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before] == ["line-groups"]
+
+
 def test_equal_lines_of_few_words(spark):
     texts = ["All rights reserved\n版权所有\nid 7\nปลอดภัย", "all rights  reserved.\n版权所有\nid 8\nปลอดภัย"]
     got = {(r.doc_id, r.line_no): r for r in fuzzy_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
