@@ -104,3 +104,17 @@ def test_the_two_fattest_number(spark):
     for r in got:
         near = range(r.a + 1, min(r.b, r.a + 50) + 1)
         assert r.f == max(near, key=lambda x: x & -x)
+
+
+def test_plans_stay_small(spark, monkeypatch):
+    """However long the strings, no table of the search is made by more than a few joins: the driver keeps every plan."""
+    joins, write = {}, prefix_trie.written
+
+    def counted(df, label, *options):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        joins[label] = max(joins.get(label, 0), plan.count("Join "))
+        return write(df, label, *options)
+
+    monkeypatch.setattr(prefix_trie, "written", counted)
+    held(spark, [(c, t, "user", "same" if t < 30 + c else f"{c} {t}") for c in range(4) for t in range(60)])
+    assert joins["trie-located"] <= 4, joins

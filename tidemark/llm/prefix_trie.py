@@ -92,6 +92,7 @@ class Trie:
         self.keys, self.strings = keys, strings
         self.paths: list[DataFrame] = []   # path, lo, hi, parent; one table per batch
         self.ends: list[DataFrame] = []    # conv, path, depth: where strings end
+        self._spent: list[DataFrame] = []  # tables that nothing reads once the strings are located
         self._inline = written(keys.where(F.col("depth") <= INLINE).groupBy("conv").agg(F.transform(
             F.sort_array(F.collect_list(F.struct("depth", "k1", "k2"))), lambda k: F.struct(k["k1"], k["k2"])).alias("inline")), "trie-inline")
 
@@ -142,8 +143,10 @@ class Trie:
         Fat binary search: the edges on the way down are found by handles alone. A string that leaves an edge
         below its handle finds no deeper one. Then its next turn tells whether it goes on into a child, and
         the keys along that last edge tell the depth.
+
+        Every probe is a table of its own: the plans of all probes stay small and alike, which the driver keeps.
         """
-        rows = waiting.withColumns({"a": F.col("lcp"), "b": F.col("length")})
+        rows, last = waiting.withColumns({"a": F.col("lcp"), "b": F.col("length")}), None
         for _ in range(longest.bit_length()):
             probe = fattest(F.col("a"), F.col("b"))
             rows = self._find(rows, handles, "handle", probe, F.col("a") < F.col("b"), far)
@@ -152,6 +155,12 @@ class Trie:
                 "conv", "length", *([] if far else ["inline"]), F.coalesce("found_path", "path").alias("path"),
                 F.when(hit, probe).otherwise(F.col("lcp")).alias("lcp"), F.when(hit, F.col("found_e")).otherwise(F.col("a")).alias("a"),
                 F.when(asked & ~hit, probe - 1).otherwise(F.col("b")).alias("b"))
+            rows = written(rows, "trie-probe")
+            if last is not None:
+                drop(last)
+            last = rows
+        if last is not None:
+            self._spent.append(last)
         rows = self._find(rows, handles, "first", F.col("a") + 1, F.col("a") < F.col("length"), far)
         into = F.col("found_path").isNotNull()
         rows = rows.select("conv", "length", *([] if far else ["inline"]), F.coalesce("found_path", "path").alias("path"),
@@ -164,6 +173,7 @@ class Trie:
             same = F.size(F.filter(both, lambda x: F.coalesce(x, F.lit(False)))).cast("long")
             return rows.join(theirs, "path").select("conv", "length", "inline", "path", (F.col("lcp") + same).alias("lcp"))
         rows = written(rows, "trie-exits")
+        self._spent.append(rows)
         steps = rows.where("lcp < most").select("conv", "path", F.explode(F.sequence(F.col("lcp") + 1, F.col("most"))).alias("depth"))
         steps = steps.join(self.keys.select("conv", "depth", "k1", "k2"), ["conv", "depth"]).join(
             self.keys.select(F.col("conv").alias("path"), "depth", F.col("k1").alias("o1"), F.col("k2").alias("o2")), ["path", "depth"])
@@ -189,6 +199,8 @@ class Trie:
                     rows = self._locate(rows, handles, rows.agg(F.max("length")).first()[0], far)
                 rows = self._key(rows, "conv", F.when(F.col("lcp") < F.col("length"), F.col("lcp") + 1), far)
                 located.append((far, written(rows, "trie-located")))
+                drop(*self._spent)
+                self._spent.clear()
             if handles is not None:
                 drop(handles)
             every = reduce(DataFrame.unionAll, [t.select("conv", "length", "path", "lcp", "k1", "k2") for _, t in located])
