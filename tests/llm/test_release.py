@@ -2,6 +2,7 @@
 
 import os
 import random
+import time
 
 import numpy as np
 import pytest
@@ -91,3 +92,18 @@ def test_the_bitmap_filter_keeps_every_linked_pair(spark):
     got = spark.createDataFrame(rows, names).withColumn("passes", _likely(75)("", "_x_")).collect()
     assert all(r.passes for r in got if r.linked) and any(r.linked for r in got)
     assert not [r for r in got if r.passes and r.share <= 0.6 and 5 <= r.n <= 140]
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    def files():
+        return {f for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+                if "/shuffle_" in f}
+
+    before = files()
+    with scope():
+        found = written(spark.range(5000).groupBy((F.col("id") % 1000).alias("k")).count(), "shuffled")
+        until = time.time() + 20
+        while files() - before and time.time() < until:
+            time.sleep(0.2)
+        assert not files() - before and found.count() == 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import batches_of
+from tidemark.llm.common import batches_of, scope, written
 
 #: 2**22 counters: 16 MB on the driver at any number of rows.
 BITS = 22
@@ -59,9 +59,10 @@ def bucket_counts(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.
     parts = df.mapInArrow(count, shape)
     parts = parts.repartition("chunk", "salt").mapInArrow(add, shape).repartition("chunk").mapInArrow(add, shape)
     total = np.zeros(1 << bits, np.int64)
-    for row in parts.select("chunk", "counts").collect():
-        part = np.frombuffer(zlib.decompress(row["counts"]), "<u8")
-        total[row["chunk"] * _CHUNK:row["chunk"] * _CHUNK + len(part)] = part
+    with scope():
+        for row in written(parts.select("chunk", "counts"), "range-counts").collect():
+            part = np.frombuffer(zlib.decompress(row["counts"]), "<u8")
+            total[row["chunk"] * _CHUNK:row["chunk"] * _CHUNK + len(part)] = part
     return total
 
 
