@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.conftest import SMALL, rows
+from tidemark.llm import ngram_join
 from tidemark.llm.common import drop, scope, written
+from tidemark.llm.components import link_items
 from tidemark.llm.grace_dedup import keep_one_each
 from tidemark.llm.ngram_join import _BITMAP, _likely, bitmap, jaccard_groups, keep_one_per_group, ngram_sets
 from tidemark.session import shared_dir
@@ -107,3 +109,33 @@ def test_shuffle_files_go_with_the_write(spark):
             time.sleep(0.2)
         assert not files() - before and found.count() == 1000
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_a_set_of_many_copies_is_stored_once(spark, monkeypatch):
+    base = [f"w{i}" for i in range(40)]
+    docs = [(i, " ".join(base if i % 2 else [*base[:-1], "other"])) for i in range(64)] + [(None, " ".join(base))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(8)
+    stored = []
+
+    def counted(df, label, *rest):
+        found = written(df, label, *rest)
+        stored.extend([found.count()] if label == "ngram-sets" else [])
+        return found
+
+    monkeypatch.setattr(ngram_join, "written", counted)
+    got = {r.doc_id: r.component_id for r in jaccard_groups(frame).collect()}
+    assert set(got.values()) == {0} and len(got) == 65 and stored == [2]
+
+
+def test_unlikely_pairs_are_not_verified(spark):
+    members = spark.createDataFrame([(1, i, 1) for i in range(20)], "key long, item long, n long")
+    details = spark.createDataFrame([(i, i % 2) for i in range(20)], "item long, side int")
+    seen = []
+
+    def verify(pairs):
+        seen.extend(map(tuple, pairs.collect()))
+        return pairs
+
+    got = dict(rows(link_items(members, ["n"], lambda raw: raw.select("a", "b").distinct(), verify, details=details,
+                               likely=lambda a, b: F.col(f"{a}side") == F.col(f"{b}side"))))
+    assert got == {i: i % 2 for i in range(20)} and all(a % 2 == b % 2 for a, b in seen) and len(set(seen)) == len(seen)

@@ -157,21 +157,33 @@ def _profiles(words: int, percent: int, common):
     return run
 
 
-def _sets(words: int, wanted):
-    """The whole sets of the items whose identity falls into a wanted range."""
+def _row_hashes(batch: pa.RecordBatch) -> np.ndarray:
+    """Hashes of the keys of the rows; null as 0."""
+    return _mixed(batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64))
+
+
+def _ranges(flags) -> tuple[np.ndarray, np.uint64]:
+    """Whether each range of hashes is wanted, and the shift that leads to a hash's range."""
+    want = np.unpackbits(np.frombuffer(flags.value, np.uint8)).astype(bool)
+    return want, np.uint64(64 - int(np.log2(len(want))))
+
+
+def _sets(words: int, wanted, keys):
+    """The whole sets of the items whose identity falls into a wanted range, from the rows whose key does,
+    too: an item of many copies is made from the one row that stands for it."""
     schema = pa.schema([("sig", pa.int64()), ("grams", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        want = np.unpackbits(np.frombuffer(wanted.value, np.uint8))
-        bits = int(np.log2(len(want)))
+        (want, shift), (rows_want, rows_shift) = _ranges(wanted), _ranges(keys)
         seen: set[int] = set()
 
         def rows():
             for batch in batches:
+                batch = batch.filter(pa.array(rows_want[_row_hashes(batch) >> rows_shift]))
                 for _, grams in _sets_of(batch, words):
                     if len(grams):
                         sig = signature(grams)
-                        if want[(sig % 2**64) >> (64 - bits)] and sig not in seen:
+                        if want[(sig % 2**64) >> int(shift)] and sig not in seen:
                             seen.add(sig)
                             yield sig, grams.tobytes()
 
@@ -347,12 +359,16 @@ def _groups(docs: DataFrame, key: str, text: str, words: int, percent: int, bits
     members = written(shared.repartition(buckets, "bucket").mapInArrow(
         _shared, "key long, item long, n long, pos long"), "ngram-members", 64)
 
+    ones = rows.where("sig is not null").groupBy("sig").agg(F.min(F.coalesce("doc_id", F.lit(0))).alias("doc_id"))
+
     def verify(pairs: DataFrame) -> DataFrame:
         sides = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
-        used = bucket_counts(sides, lambda batch: iter([np.asarray(batch.column("sig")).view(np.uint64)]), bits)
-        wanted = spark.sparkContext.broadcast(np.packbits(used > 0).tobytes())
-        stored = written(texts.select("text").mapInArrow(_sets(words, wanted), "sig long, grams binary"),
-                         "ngram-sets", _BATCH_ROWS)
+        used = written(sides.join(ones, "sig"), "ngram-sides")
+        wanted, keys = (spark.sparkContext.broadcast(np.packbits(bucket_counts(used.select(c), h, bits) > 0).tobytes()) for c, h in (
+            ("sig", lambda batch: iter([np.asarray(batch.column("sig")).view(np.uint64)])),
+            ("doc_id", lambda batch: iter([_row_hashes(batch)]))))
+        drop(used)
+        stored = written(texts.mapInArrow(_sets(words, wanted, keys), "sig long, grams binary"), "ngram-sets", _BATCH_ROWS)
         found = stored.dropDuplicates(["sig"])
         sets_a = found.select(F.col("sig").alias("a"), F.col("grams").alias("grams_a"))
         sets_b = found.select(F.col("sig").alias("b"), F.col("grams").alias("grams_b"))
@@ -361,7 +377,7 @@ def _groups(docs: DataFrame, key: str, text: str, words: int, percent: int, bits
         drop(stored)
         return links
 
-    bitmaps = rows.where("prefix is not null").select(F.col("sig").alias("item"), *_BITMAP).dropDuplicates(["item"])
+    bitmaps = rows.where("prefix is not null").select(F.col("sig").alias("item"), "n", *_BITMAP).dropDuplicates(["item"])
     linked = link_items(members, ["n", "pos"], _candidates(percent), verify, details=bitmaps, likely=_likely(percent))
     classes = rows.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least"))
     classes = classes.join(linked, F.col("sig") == F.col("item"), "left").select(
