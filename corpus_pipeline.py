@@ -6,6 +6,7 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.bin_packing import pack_documents
 from tidemark.llm.common import drop, scope, table, written
@@ -42,6 +43,12 @@ def _stage(work: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, Da
     return stage
 
 
+def _unique(docs: DataFrame) -> bool:
+    """Whether every row has a doc_id of its own. The two dedups copy their input only where that is not so."""
+    n, known = docs.agg(F.count("*"), F.count_distinct(F.col("doc_id").cast("long"))).first()
+    return n == known
+
+
 @_stage
 def quality(docs: DataFrame) -> DataFrame:
     """Documents that the quality rules reject go."""
@@ -51,13 +58,13 @@ def quality(docs: DataFrame) -> DataFrame:
 @_stage
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """Of equal texts the largest doc_id stays."""
-    return keep_one_each(docs)
+    return keep_one_each(docs, unique=_unique(docs))
 
 
 @_stage
 def near_dedup(docs: DataFrame) -> DataFrame:
     """Of texts linked by shared n-grams the smallest doc_id stays."""
-    return keep_one_per_group(docs)
+    return keep_one_per_group(docs, unique=_unique(docs))
 
 
 @_stage

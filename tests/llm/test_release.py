@@ -54,6 +54,24 @@ def test_near_duplicate_operators_leave_only_their_result(spark):
         keep_one_per_group(docs.withColumn("_ngram_row", F.lit(1)))
 
 
+def test_dedups_copy_no_input_whose_keys_are_unique(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "other words stand here now"), (4, None), (5, "")],
+                                 "doc_id long, text string")
+    for stage, operator, kept, label in ((corpus_pipeline.exact_dedup, keep_one_each, {2, 3, 5}, "grace"),
+                                         (corpus_pipeline.near_dedup, keep_one_per_group, {1, 3, 4, 5}, "ngram")):
+        before = folders(spark)
+        assert {r.doc_id for r in operator(docs, unique=True).collect()} == {r.doc_id for r in operator(docs).collect()} == kept
+        before = folders(spark)
+        found = stage(spark, docs, SMALL)
+        assert rows(found) == rows(docs.where(F.col("doc_id").isin(kept)))
+        assert f"{label}-input" not in {n.rsplit("-", 1)[0] for n in folders(spark) - before}
+        odd = docs.unionAll(docs.where("doc_id < 3")).unionAll(docs.select(F.lit(None).cast("long"), F.lit("a b c d e f g")).limit(1))
+        before = folders(spark)
+        found = stage(spark, odd, SMALL)
+        assert rows(found) == rows(docs.where(F.col("doc_id").isin(kept)))
+        assert f"{label}-input" in {n.rsplit("-", 1)[0] for n in folders(spark) - before}
+
+
 def test_a_stage_releases_those_before_it(spark, tmp_path):
     docs, before = spark.read.parquet(f"{SMALL}/documents.parquet"), folders(spark)
     for at, (_, stage) in enumerate(corpus_pipeline.STAGES):

@@ -95,7 +95,7 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", row:
     bytes, and content that finds no room goes to the next level under another hash.
     """
     ship_package(docs.sparkSession)
-    given = F.col(row) if row else F.lit(None).cast("long")
+    given = F.col(row).cast("long") if row else F.lit(None).cast("long")
     local = written(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"),
                                 given.alias("row")).mapInArrow(
         _local(table_bytes, row is not None),
@@ -124,15 +124,18 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", row:
         (F.col("row") == F.col("top.row")).alias("kept"), F.col("sha").alias("text_sha256"))
 
 
-def keep_one_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one_each(docs: DataFrame, key: str = "doc_id", text: str = "text", unique: bool = False) -> DataFrame:
     """The rows that stay, with all their columns as they are; see ``exact_groups`` for which.
 
     A column called ``_grace_row`` is an error. Two tables stay below the shared folder, as the result
-    reads them: the input and the numbers of the rows that stay."""
+    reads them: the input and the numbers of the rows that stay. ``unique`` says that the key is a long one that no two
+    rows share and no row lacks: it numbers the rows then, and the input is not copied but read again."""
     if "_grace_row" in docs.columns:
         raise ValueError("the column _grace_row would be overwritten")
     with scope() as here:
-        marked = here.keep(written(docs.withColumn("_grace_row", F.monotonically_increasing_id()), "grace-input"))
+        marked = docs.withColumn("_grace_row", F.col(key).cast("long") if unique else F.monotonically_increasing_id())
+        if not unique:
+            marked = here.keep(written(marked, "grace-input"))
         kept = here.keep(written(exact_groups(marked, key, text, "_grace_row").where("kept").select(
             F.col("row").alias("_grace_row")), "grace-kept"))
     return marked.join(kept, "_grace_row", "left_semi").drop("_grace_row")

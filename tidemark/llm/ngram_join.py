@@ -388,16 +388,22 @@ def _groups(docs: DataFrame, key: str, text: str, words: int, percent: int, bits
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def keep_one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text", unique: bool = False) -> DataFrame:
     """One row of each group of linked texts, the one with the smallest key, with all
     its columns as they are. Rows without words stay. Null keys come last; of rows with one key the first stays.
 
     A column called ``_ngram_row`` is an error. Two tables stay below the shared folder, as the result
-    reads them: the input and the numbers of the rows that stay."""
+    reads them: the input and the numbers of the rows that stay. ``unique`` says that the key is a long one that no two
+    rows share and no row lacks: it numbers the rows then, and the input is not copied but read again."""
     if "_ngram_row" in docs.columns:
         raise ValueError("the column _ngram_row would be overwritten")
     with scope() as here:
-        marked, kept = (here.keep(t) for t in _kept(docs, key, text))
+        if unique:
+            marked = docs.withColumn("_ngram_row", F.col(key).cast("long"))
+            groups = jaccard_groups(marked, "_ngram_row", text)
+            kept = here.keep(written(groups.where("doc_id = component_id").select(F.col("doc_id").alias("_ngram_row")), "ngram-kept"))
+        else:
+            marked, kept = (here.keep(t) for t in _kept(docs, key, text))
     return marked.join(kept, "_ngram_row", "left_semi").drop("_ngram_row")
 
 
