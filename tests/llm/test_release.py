@@ -157,3 +157,24 @@ def test_unlikely_pairs_are_not_verified(spark):
     got = dict(rows(link_items(members, ["n"], lambda raw: raw.select("a", "b").distinct(), verify, details=details,
                                likely=lambda a, b: F.col(f"{a}side") == F.col(f"{b}side"))))
     assert got == {i: i % 2 for i in range(20)} and all(a % 2 == b % 2 for a, b in seen) and len(set(seen)) == len(seen)
+
+
+def test_stars_and_ranges_take_few_steps(spark, monkeypatch):
+    """A forest of stars ends in one step of either kind, and n-grams alone are counted by ranges."""
+    from tidemark.llm import common
+    from tidemark.llm.components import components
+
+    labels, named = [], common.scratch
+    monkeypatch.setattr(common, "scratch", lambda session, label: (labels.append(label), named(session, label))[1])
+    edges = [(0, i) for i in range(1, 9)] + [(20, i) for i in range(10, 15)] + [(30, 31), (31, 30)]
+    got = dict(rows(components(spark.createDataFrame(edges, "a long, b long"))))
+    assert got == {i: 0 for i in range(9)} | {i: 10 for i in (10, 11, 12, 13, 14, 20)} | {30: 30, 31: 30}
+    assert labels.count("small-star") <= 2
+    chain = dict(rows(components(spark.createDataFrame([(i, i + 1) for i in range(50)], "a long, b long"))))
+    assert chain == {i: 0 for i in range(51)}
+    labels.clear()
+    base = [f"w{i}" for i in range(80)]
+    texts = [" ".join([*base[:i], "new", *base[i + 1:]]) for i in (5, 40, 70)]
+    docs = spark.createDataFrame([*enumerate(texts), (None, texts[0])], "doc_id long, text string")
+    assert {r.component_id for r in jaccard_groups(docs, bits=9).collect()} == {0}
+    assert labels.count("range-counts") == 1

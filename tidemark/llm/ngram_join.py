@@ -157,33 +157,43 @@ def _profiles(words: int, percent: int, common):
     return run
 
 
-def _row_hashes(batch: pa.RecordBatch) -> np.ndarray:
-    """Hashes of the keys of the rows; null as 0."""
-    return _mixed(batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64))
+def _place(value: Column, bits: int) -> Column:
+    """The range of a 64-bit hash, by its leading bits."""
+    return F.shiftrightunsigned(value, 64 - bits)
 
 
-def _ranges(flags) -> tuple[np.ndarray, np.uint64]:
-    """Whether each range of hashes is wanted, and the shift that leads to a hash's range."""
-    want = np.unpackbits(np.frombuffer(flags.value, np.uint8)).astype(bool)
-    return want, np.uint64(64 - int(np.log2(len(want))))
+def _key_place(bits: int) -> Column:
+    """The range of the hash of a row's key; null as 0."""
+    return _place(F.xxhash64(F.coalesce("doc_id", F.lit(0).cast("long"))), bits)
 
 
-def _sets(words: int, wanted, keys):
-    """The whole sets of the items whose identity falls into a wanted range, from the rows whose key does,
-    too: an item of many copies is made from the one row that stands for it."""
+def _hit(places: DataFrame, bits: int) -> list[bytes]:
+    """For each column, a bit for every of 2**bits ranges: whether it occurs. Tasks make bitmaps of 4 KB."""
+    parts = places.select(F.posexplode(F.array(*places.columns)).alias("column", "place")).groupBy(
+        "column", F.shiftright("place", 15).alias("part")).agg(F.bitmap_construct_agg(F.col("place").bitwiseAND(32767)).alias("bits"))
+    flags = np.zeros((len(places.columns), max(4096, 2**bits // 8)), np.uint8)
+    with scope():
+        for r in written(parts, "ngram-hits").collect():
+            flags[r["column"], r["part"] * 4096:(r["part"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
+    return [f.tobytes() for f in flags]
+
+
+def _sets(words: int, bits: int, wanted, keys):
+    """The whole sets of the items whose identity falls into a wanted range, from the rows whose key (as
+    ``place``) does, too: an item of many copies is made from the one row that stands for it."""
     schema = pa.schema([("sig", pa.int64()), ("grams", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (want, shift), (rows_want, rows_shift) = _ranges(wanted), _ranges(keys)
+        want, rows_want = (np.unpackbits(np.frombuffer(f.value, np.uint8), bitorder="little").astype(bool) for f in (wanted, keys))
         seen: set[int] = set()
 
         def rows():
             for batch in batches:
-                batch = batch.filter(pa.array(rows_want[_row_hashes(batch) >> rows_shift]))
+                batch = batch.filter(pa.array(rows_want[batch.column("place").to_numpy(zero_copy_only=False)]))
                 for _, grams in _sets_of(batch, words):
                     if len(grams):
                         sig = signature(grams)
-                        if want[(sig % 2**64) >> int(shift)] and sig not in seen:
+                        if want[(sig % 2**64) >> (64 - bits)] and sig not in seen:
                             seen.add(sig)
                             yield sig, grams.tobytes()
 
@@ -359,16 +369,19 @@ def _groups(docs: DataFrame, key: str, text: str, words: int, percent: int, bits
     members = written(shared.repartition(buckets, "bucket").mapInArrow(
         _shared, "key long, item long, n long, pos long"), "ngram-members", 64)
 
-    ones = rows.where("sig is not null").groupBy("sig").agg(F.min(F.coalesce("doc_id", F.lit(0))).alias("doc_id"))
+    # One row of each distinct set: of the rows that have it, one holds its bitmap for each task.
+    items = written(rows.where("sig is not null").groupBy("sig").agg(
+        F.min(F.coalesce("doc_id", F.lit(0))).alias("doc_id"), F.min("doc_id").alias("least"), F.max("n").alias("n"),
+        *[F.max(b).alias(b) for b in _BITMAP]), "ngram-items")
+    profiles, rows = rows, written(rows.select("doc_id", "sig", "n"), "ngram-rows")
+    drop(profiles)  # The prefixes take the most room.
+    placed = texts.select("text", _key_place(bits).alias("place"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         sides = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
-        used = written(sides.join(ones, "sig"), "ngram-sides")
-        wanted, keys = (spark.sparkContext.broadcast(np.packbits(bucket_counts(used.select(c), h, bits) > 0).tobytes()) for c, h in (
-            ("sig", lambda batch: iter([np.asarray(batch.column("sig")).view(np.uint64)])),
-            ("doc_id", lambda batch: iter([_row_hashes(batch)]))))
-        drop(used)
-        stored = written(texts.mapInArrow(_sets(words, wanted, keys), "sig long, grams binary"), "ngram-sets", _BATCH_ROWS)
+        used = sides.join(items.select("sig", "doc_id"), "sig").select(_place(F.col("sig"), bits).alias("sig"), _key_place(bits).alias("key"))
+        wanted, keys = (spark.sparkContext.broadcast(f) for f in _hit(used, bits))
+        stored = written(placed.mapInArrow(_sets(words, bits, wanted, keys), "sig long, grams binary"), "ngram-sets", _BATCH_ROWS)
         found = stored.dropDuplicates(["sig"])
         sets_a = found.select(F.col("sig").alias("a"), F.col("grams").alias("grams_a"))
         sets_b = found.select(F.col("sig").alias("b"), F.col("grams").alias("grams_b"))
@@ -377,9 +390,9 @@ def _groups(docs: DataFrame, key: str, text: str, words: int, percent: int, bits
         drop(stored)
         return links
 
-    bitmaps = rows.where("prefix is not null").select(F.col("sig").alias("item"), "n", *_BITMAP).dropDuplicates(["item"])
+    bitmaps = items.select(F.col("sig").alias("item"), "n", *_BITMAP)
     linked = link_items(members, ["n", "pos"], _candidates(percent), verify, details=bitmaps, likely=_likely(percent))
-    classes = rows.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least"))
+    classes = items.select("sig", "least")
     classes = classes.join(linked, F.col("sig") == F.col("item"), "left").select(
         "sig", "least", F.coalesce("component", "sig").alias("component"))
     ids = classes.groupBy("component").agg(F.min("least").alias("component_id"))
