@@ -174,6 +174,28 @@ def test_linked_chains(spark):
     assert all(got.get(i, i) == want[i] for _, i in members)
 
 
+def test_pairs_of_wide_keys_are_returned_once(spark):
+    """Near copies share many keys: a pair is returned at the first of them, and no link is lost for it."""
+    from tidemark.llm import components as module
+
+    copies = spark.createDataFrame([(key, i) for key in range(12) for i in range(20)], "key long, item long")
+    open_keys = module._open_keys(copies.withColumn("_c", F.col("item")), None, "key")
+    assert module._across(open_keys, F.lit(True), None).count() == 190
+    pick = random.Random(8)
+    members, edges = [], set()
+    for start in range(0, 1200, 40):
+        group = list(range(start, start + 40))
+        for key in range(pick.randrange(1, 60)):  # more keys than an item names
+            members += [(60 * start + key, i, pick.randrange(5)) for i in group if pick.random() < 0.5]
+        keys = {i: {k for k, j, _ in members if j == i} for i in group}
+        edges |= {(a, b) for a, b in itertools.combinations(group, 2) if pick.random() < 0.03 and keys[a] & keys[b]}
+    true = spark.createDataFrame(sorted(edges), "a long, b long")
+    frame = spark.createDataFrame(members, "key long, item long, n long")
+    got = dict(rows(link_items(frame, ["n"], lambda raw: raw.select("a", "b").distinct(), lambda pairs: pairs.join(true, ["a", "b"]))))
+    want = groups_of(1200, edges)
+    assert all(got.get(i, i) == want[i] for _, i, _ in members)
+
+
 def brute_spans(docs, length):
     """Per document (sorted), the bytes of strings that start earlier."""
     seen, out = set(), []

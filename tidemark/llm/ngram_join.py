@@ -391,7 +391,8 @@ def _groups(docs: DataFrame, key: str, text: str, words: int, percent: int, bits
         return links
 
     bitmaps = items.select(F.col("sig").alias("item"), "n", *_BITMAP)
-    linked = link_items(members, ["n", "pos"], _candidates(percent), verify, details=bitmaps, likely=_likely(percent))
+    linked = link_items(members, ["n", "pos"], _candidates(percent), verify, details=bitmaps, likely=_likely(percent),
+                        order="pos")
     classes = items.select("sig", "least")
     classes = classes.join(linked, F.col("sig") == F.col("item"), "left").select(
         "sig", "least", F.coalesce("component", "sig").alias("component"))
