@@ -503,6 +503,22 @@ def test_lines_remove_what_is_read(spark, monkeypatch):
     assert seen and not any(seen), seen
 
 
+def test_pairs_are_compared_in_slices(spark, monkeypatch):
+    """Lines of one group and of none are the same in many slices, and each slice is a table of its own."""
+    from tidemark.llm import fuzzy_lines as module
+
+    seen, plain = [], module.written
+    monkeypatch.setattr(module, "_PAIRS", 6)
+    monkeypatch.setattr(module, "written", lambda df, label, *rest: seen.append(label) or plain(df, label, *rest))
+    words = "alder birch cedar dogwood elm fir".split()
+    texts = [" ".join([*words, *[f"{a}{a}{a}{a}{a}{a}{j}x" for j in "klmn"], "z" * (i // 2)]) for a in "pqrs" for i in range(6)]
+    got = {r.doc_id: r.line_group for r in fuzzy_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    near = [(a, b) for a, b in itertools.combinations(range(24), 2) if 10 * edits(texts[a], texts[b]) <= max(len(texts[a]), len(texts[b]))]
+    want = groups_of(24, near)
+    assert all((got[a] == got[b]) == (want[a] == want[b]) for a, b in itertools.combinations(range(24), 2))
+    assert seen.count("line-links") > seen.count("spelt-lines")
+
+
 def test_equal_lines_of_few_words(spark):
     texts = ["All rights reserved\n版权所有\nid 7\nปลอดภัย", "all rights  reserved.\n版权所有\nid 8\nปลอดภัย"]
     got = {(r.doc_id, r.line_no): r for r in fuzzy_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
