@@ -143,9 +143,9 @@ def stored_lines(rows: DataFrame, null_hash: bool = False) -> DataFrame:
         "HashValue": F.when(changed, old).otherwise(F.col("HashValue")), "LoadCreateDate": first_time()})
 
 
-def staged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def staged_lines(spark: SparkSession, sf_dir: str, bits: int = 256) -> DataFrame:
     """The hashed lines written out once, since run and snapshot both read them."""
-    return stage(hashed_lines(spark, sf_dir), mode="table").df
+    return stage(hashed_lines(spark, sf_dir, bits), mode="table", keys=["k", "rev"], dealt=True).df
 
 
 # --- flagship ---------------------------------------------------------------------------------
@@ -486,7 +486,7 @@ def cdc_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cdc_classify_512(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same on hashes of 512 bits, the production width, without their text."""
-    rows = stage(hashed_lines(spark, sf_dir, 512), mode="table").df
+    rows = staged_lines(spark, sf_dir, 512)
     prior = prior_snapshot(stored_lines(rows), ["k", "rev"])
     return classify(rows, prior, ["k", "rev"]).select(*LINE_RESULT[:-1], "InsertUpdates", "AuditOperations")
 
