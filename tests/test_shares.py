@@ -44,7 +44,7 @@ def test_a_stage_in_shares_has_every_row_and_leaves_no_shuffle_files(spark, larg
     assert not [t for t in spark.catalog.listTables() if t.name == kept._table]
 
 
-@pytest.mark.parametrize("name", ["cdc_classify_512"])
+@pytest.mark.parametrize("name", ["cdc_classify_512", "cdc_apply"])
 def test_classes_and_delta_of_staged_lines_shuffle_nothing(spark, large, name):
     found = registered.QUERIES[name](spark, SMALL)
     assert "Exchange" not in plan_of(found)
