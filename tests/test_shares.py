@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SMALL, plan_of, rows
-from tidemark.operators import shares, stage
+from tidemark.operators import apply_delta, shares, stage
 from tidemark.plans import registered
 from tidemark.session import scratch
+from tidemark.sources import Snapshots, upsert
 
 
 @pytest.fixture
@@ -51,3 +52,14 @@ def test_classes_and_delta_of_staged_lines_shuffle_nothing(spark, large, name):
     shares._SHARE_BYTES = 1 << 40
     assert rows(found) == rows(registered.QUERIES[name](spark, SMALL))
     [spark.sql(f"DROP TABLE {t.name}") for t in spark.catalog.listTables()]
+
+
+def test_an_upsert_in_shares(spark, large):
+    store = Snapshots(spark, scratch(spark, "store"))
+    store.commit(keyed(spark, range(50), "a"))
+    delta = stage(keyed(spark, [3, 5, 70], "b"), mode="table").df
+    wanted = rows(apply_delta(store.read(), delta, ["k"]))
+    before = shuffle_files(spark)
+    upsert(store, delta, ["k"])
+    assert shuffle_files(spark) <= before
+    assert rows(store.read()) == wanted and store.read().count() == 52  # a NULL key is never the same

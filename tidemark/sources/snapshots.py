@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.changes import apply_delta
+from tidemark.operators.shares import write_shares
 from tidemark.session import remove
 from tidemark.sources.commits import CommitConflict, CommitLog
 from tidemark.sources.sinks import clustered
@@ -41,7 +42,8 @@ class Snapshots:
 
     def commit(self, df: DataFrame, version: int | None = None, keys: Sequence[str] = (),
                partitions: int = 0, run: str | None = None, base: int | None = None) -> int:
-        """Write a version and put it in force. With ``partitions``, laid out by key.
+        """Write a version and put it in force. With ``partitions``, laid out by key; else with ``keys`` a large one is
+        written in shares of the keys' hashes, so that the shuffle files of one share at a time are there.
 
         A number that is not above the latest one is an error, unless ``run`` is the
         name under which that number was committed: a replay, which changes nothing. So is
@@ -64,7 +66,7 @@ class Snapshots:
         folder = f"v{version:012d}-{uuid.uuid4().hex}"
         if partitions:
             df = clustered(df, keys, partitions)
-        df.write.parquet(f"{self.root}/data/{folder}")
+        write_shares(df, f"{self.root}/data/{folder}", () if partitions else keys)
         try:
             if base is not None and self.version() != base:
                 raise CommitConflict(f"another version of {self.root} came after {base}, which the rows were made from")
