@@ -7,7 +7,7 @@ from tests.conftest import SMALL, plan_of, rows
 from tidemark.operators import apply_delta, shares, stage
 from tidemark.plans import registered
 from tidemark.session import scratch
-from tidemark.sources import Snapshots, upsert
+from tidemark.sources import KeyedSnapshots, Snapshots, upsert
 
 
 @pytest.fixture
@@ -63,3 +63,19 @@ def test_an_upsert_in_shares(spark, large):
     upsert(store, delta, ["k"])
     assert shuffle_files(spark) <= before
     assert rows(store.read()) == wanted and store.read().count() == 52  # a NULL key is never the same
+
+
+def test_an_upsert_of_slices_in_shares(spark, large):
+    store, plain = (KeyedSnapshots(spark, scratch(spark, "keyed"), ["k"], slices=8, buckets=2) for _ in range(2))
+    deltas = [stage(keyed(spark, ids, text), mode="table").df for ids, text in ((range(50), "a"), ([3, 70], "b"), (range(60), "c"))]
+    before = shuffle_files(spark)
+    for delta in deltas:
+        store.upsert(delta)
+        # One shuffle names the slices of the delta and is no part of the write.
+        assert len({n.split("_")[1] for n in shuffle_files(spark) - before}) <= 1
+        before |= shuffle_files(spark)
+    shares._SHARE_BYTES = 1 << 40
+    [plain.upsert(delta) for delta in deltas]
+    assert rows(store.read()) == rows(plain.read())
+    assert len({f.split("/")[-2] for f in store.folders().values()}) == len({f.split("/")[-2] for f in plain.folders().values()})
+    assert not [t for t in spark.catalog.listTables() if store.root in t.name]

@@ -538,7 +538,7 @@ def cdc_upsert_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     for odd in (0, 1):
         part = rows.where(F.pmod("k", F.lit(2)) == odd)
         delta = stamp(only_changes(classify(part, store.prior_of(part), ["k", "rev"])), BATCH).drop(CLASS, LABEL)
-        with stage(delta, mode="table") as kept:
+        with stage(delta, mode="table", keys=["k", "rev"]) as kept:
             store.upsert(kept)
     store.release()
     return store.read()

@@ -9,14 +9,15 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.changes import CREATED, HASH, apply_delta
-from tidemark.session import remove
+from tidemark.operators.shares import shares_of, table_ddl
+from tidemark.session import own_shuffles, remove
 from tidemark.sources.commits import CommitConflict, CommitLog
 
 _SLICE = "_slice"
@@ -92,10 +93,7 @@ class KeyedSnapshots:
             return None
         if number not in self._tables:
             schema, name = self.schema(number), f"tidemark_{uuid.uuid4().hex}"
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-            by = ", ".join(f"`{k}`" for k in self.keys)
-            self.spark.sql(f"CREATE TABLE {name} ({columns}, {_SLICE} INT) USING parquet PARTITIONED BY ({_SLICE}) "
-                           f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {self.buckets} BUCKETS LOCATION '{self.root}/data'")
+            self.spark.sql(table_ddl(name, schema, f"{self.root}/data", self.keys, self.buckets, _SLICE))
             for s, folder in sorted(self.folders(number).items()):
                 self.spark.sql(f"ALTER TABLE {name} ADD PARTITION ({_SLICE} = {s}) LOCATION '{folder}'")
             self._tables[number] = name
@@ -120,17 +118,30 @@ class KeyedSnapshots:
 
     # --- writing ------------------------------------------------------------------------------
 
-    def _write(self, rows: DataFrame, schema: T.StructType) -> tuple[str, list[int]]:
-        """Rows as bucketed files by slice in a new folder: its name and the slices it has."""
+    def _write(self, rows: Callable[[list[int]], DataFrame], schema: T.StructType, slices: Sequence[int]) -> tuple[str, list[int], T.StructType]:
+        """Rows of the slices as bucketed files by slice in a new folder: its name, the slices it has and the rows' schema.
+        Those of large tables are written some slices at a time, so that only the shuffle files of these are there."""
         folder, name = f"f-{uuid.uuid4().hex}", f"tidemark_{uuid.uuid4().hex}"
-        # Spark deals a repartition and its buckets by one hash: every task has whole buckets.
-        dealt = rows.withColumn(_SLICE, self.slice_of(schema)).repartition(self.buckets, *self.keys)
-        (dealt.write.format("parquet").partitionBy(_SLICE).bucketBy(self.buckets, *self.keys).sortBy(*self.keys)
-              .option("path", f"{self.root}/data/{folder}").saveAsTable(name))
-        self.spark.sql(f"DROP TABLE {name}")
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/data/{folder}")
-        found = [s.getPath().getName() for s in path.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(path)]
-        return folder, sorted(int(n.split("=")[1]) for n in found if n.startswith(f"{_SLICE}="))
+        every = rows(list(slices))
+        shares = max(1, min(len(slices), shares_of(every)))
+        path = f"{self.root}/data/{folder}"
+        self.spark.sql(table_ddl(name, every.schema, path, self.keys, self.buckets, _SLICE))
+        try:
+            for i in range(shares):
+                # Spark deals a repartition and its buckets by one hash: every task has whole buckets.
+                dealt = rows(list(slices[i::shares])).withColumn(_SLICE, self.slice_of(schema)).repartition(self.buckets, *self.keys)
+                with own_shuffles(self.spark):
+                    dealt.write.insertInto(name)
+        finally:
+            self.spark.sql(f"DROP TABLE {name}")
+        found = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        store = found.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in store.listStatus(found)] if store.exists(found) else []
+        return folder, sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{_SLICE}=")), every.schema
+
+    def _slices_of(self, rows: DataFrame, schema: T.StructType, slices: Sequence[int]) -> DataFrame:
+        """The rows of some slices."""
+        return rows if len(slices) == self.slices else rows.where(self.slice_of(schema).isin(list(slices)))
 
     def _commit(self, number: int, base: int | None, folders: dict[int, str], fresh: str, schema: T.StructType, run: str | None) -> int:
         try:
@@ -158,8 +169,8 @@ class KeyedSnapshots:
         if (done := self.replayed(run)) is not None:
             return done
         number, base = self.commits.settled(), self.version()
-        folder, found = self._write(rows, rows.schema)
-        return self._commit(number, base, dict.fromkeys(found, folder), folder, rows.schema, run)
+        folder, found, schema = self._write(lambda some: self._slices_of(rows, rows.schema, some), rows.schema, range(self.slices))
+        return self._commit(number, base, dict.fromkeys(found, folder), folder, schema, run)
 
     def upsert(self, delta: DataFrame, run: str | None = None, attempts: int = 1, base: object = _ANY) -> int:
         """Apply a delta as the next version: rows of its keys are replaced or added.
@@ -185,15 +196,15 @@ class KeyedSnapshots:
         if expected is not _ANY and expected != (latest and latest[0]):
             raise CommitConflict(f"{self.root} has version {latest and latest[0]}, the delta was made from {expected}")
         if latest is None:
-            folder, found = self._write(delta, delta.schema)
-            return self._commit(number, None, dict.fromkeys(found, folder), folder, delta.schema, run)
+            folder, found, schema = self._write(lambda some: self._slices_of(delta, delta.schema, some), delta.schema, range(self.slices))
+            return self._commit(number, None, dict.fromkeys(found, folder), folder, schema, run)
         base, record = latest
         schema = T.StructType.fromJson(json.loads(record["schema"]))
         slices = self.touched(delta)
-        rows = apply_delta(self.read(base, slices), delta, self.keys)
-        folder, found = self._write(rows, schema)
+        folder, found, grown = self._write(lambda some: apply_delta(
+            self.read(base, some), self._slices_of(delta, schema, some), self.keys), schema, slices)
         folders = {int(s): f for s, f in record["folders"].items()} | dict.fromkeys(found, folder)
-        return self._commit(number, base, folders, folder, rows.schema, run)
+        return self._commit(number, base, folders, folder, grown, run)
 
     def retire(self, keep: int = 7) -> list[str]:
         """Delete the folders of slices that none of the last ``keep`` versions names; returns them."""
