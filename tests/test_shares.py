@@ -79,3 +79,12 @@ def test_an_upsert_of_slices_in_shares(spark, large):
     assert rows(store.read()) == rows(plain.read())
     assert len({f.split("/")[-2] for f in store.folders().values()}) == len({f.split("/")[-2] for f in plain.folders().values()})
     assert not [t for t in spark.catalog.listTables() if store.root in t.name]
+
+
+@pytest.mark.parametrize("name", ["claim_measures_first_load"])
+def test_claims_in_shares(spark, large, name):
+    before = shuffle_files(spark), {t.name for t in spark.catalog.listTables()}
+    found = registered.QUERIES[name](spark, SMALL)
+    assert "Exchange" not in plan_of(found) and {t.name for t in spark.catalog.listTables()} == before[1]
+    shares._SHARE_BYTES = 1 << 40
+    assert rows(found) == rows(registered.QUERIES[name](spark, SMALL))

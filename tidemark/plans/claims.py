@@ -1,7 +1,8 @@
 """Claim transaction measures: the 80-column delta of a claims warehouse.
 
 Tables, by role: ``fact_line``, ``transaction_dim``, ``transaction_descriptors``,
-``claim_descriptors``, ``policy_descriptors``, ``brand``, ``policy_risk_state``.
+``claim_descriptors``, ``policy_descriptors``, ``brand``, ``policy_risk_state``. The result of
+``current_risk_states`` may be given as ``current_risk_state``, where it is stored already.
 Rule text refers to them by the aliases in ``ALIASES``.
 """
 
@@ -193,7 +194,7 @@ def current_risk_states(states: DataFrame) -> DataFrame:
 
 def lookups(tables: Mapping[str, DataFrame]) -> list[Lookup]:
     """The star around the fact; inner joins first, as they drop rows."""
-    states = current_risk_states(tables["policy_risk_state"])
+    states = tables["current_risk_state"] if "current_risk_state" in tables else current_risk_states(tables["policy_risk_state"])
     found = [
         Lookup("ClaimTransactionDescriptors", tables["transaction_descriptors"],
                ["ClaimTransactionLineCategoryKey", "ClaimTransactionWCKey", "ClaimWCKey"], "inner"),

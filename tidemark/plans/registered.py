@@ -270,8 +270,15 @@ def claim_prior(rows: DataFrame) -> DataFrame:
         first_time().alias("LoadCreateDate"))
 
 
-def claim_rows(spark: SparkSession, sf_dir: str, bits: int = 256) -> DataFrame:
+def claim_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The claim tables with the current risk states written out once, as every share of the rows reads them."""
     tables = claim_tables(spark, sf_dir)
+    states = claims.current_risk_states(tables["policy_risk_state"])
+    return tables | {"current_risk_state": stage(states, mode="table").df}
+
+
+def claim_rows(spark: SparkSession, sf_dir: str, bits: int = 256) -> DataFrame:
+    tables = claim_sources(spark, sf_dir)
     facts = claims.extract_claim_transactions(tables, START)
     rules = load_rules(rules_frame(spark, claims.sample_rules(), claims.SOURCE_TYPE),
                        claims.SOURCE_TYPE)
@@ -294,7 +301,7 @@ def claim_measures_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def claim_measures_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return claims.run_measures(claim_tables(spark, sf_dir), claims.sample_rules(), None,
+    rows = claims.run_measures(claim_sources(spark, sf_dir), claims.sample_rules(), None,
                                "1900-01-01", BATCH, hash_bits=256)
 
 
@@ -305,6 +312,7 @@ def _changed_lines(spark: SparkSession, sf_dir: str, start, strategy: str) -> Da
     return changed_since(t["lineitem"], t["orders"], ("l_orderkey", "o_orderkey"), "l_shipdate",
                          "o_orderdate", start, strategy)
 
+    return stage(rows, mode="table", keys=["ClaimTransactionWCKey"]).df
 
 def changed_either_side_or(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _changed_lines(spark, sf_dir, START, "or")
