@@ -81,7 +81,7 @@ def test_an_upsert_of_slices_in_shares(spark, large):
     assert not [t for t in spark.catalog.listTables() if store.root in t.name]
 
 
-@pytest.mark.parametrize("name", ["claim_measures_first_load"])
+@pytest.mark.parametrize("name", ["claim_measures_first_load", "claim_measures_pruned"])
 def test_claims_in_shares(spark, large, name):
     before = shuffle_files(spark), {t.name for t in spark.catalog.listTables()}
     found = registered.QUERIES[name](spark, SMALL)

@@ -285,8 +285,14 @@ def claim_rows(spark: SparkSession, sf_dir: str, bits: int = 256) -> DataFrame:
     return claims.calculate_measures(facts, tables, rules, replace(claims.JOB, hash_bits=bits))
 
 
+def staged_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The claim rows written out once, since run and snapshot both read them. Fact, transaction and descriptors
+    are joined by the key of the shares, which then goes down to their scans."""
+    return stage(claim_rows(spark, sf_dir), mode="table", keys=["ClaimTransactionWCKey"]).df
+
+
 def claim_measures_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stage(claim_rows(spark, sf_dir), mode="table").df
+    rows = staged_claims(spark, sf_dir)
     delta = delta_of(rows, claim_prior(rows), claims.KEYS, BATCH)
     return delta.select(*claims.OUTPUT_COLUMNS)
 
@@ -294,15 +300,19 @@ def claim_measures_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 def claim_measures_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same delta against a stored snapshot of slices: the snapshot is not shuffled, and slices
     without a key of the run are not read."""
-    rows = stage(claim_rows(spark, sf_dir), mode="table").df
+    rows = staged_claims(spark, sf_dir)
     store = KeyedSnapshots(spark, scratch(spark, "claims"), claims.KEYS)
     store.upsert(claim_prior(rows))
-    return delta_of(rows, store.prior_of(rows), claims.KEYS, BATCH).select(*claims.OUTPUT_COLUMNS)
+    delta = delta_of(rows, store.prior_of(rows), claims.KEYS, BATCH)
+    found = stage(delta.select(*claims.OUTPUT_COLUMNS), mode="table", keys=claims.KEYS, most=4).df
+    store.release()
+    return found
 
 
 def claim_measures_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = claims.run_measures(claim_sources(spark, sf_dir), claims.sample_rules(), None,
                                "1900-01-01", BATCH, hash_bits=256)
+    return stage(rows, mode="table", keys=["ClaimTransactionWCKey"]).df
 
 
 # --- change windows ---------------------------------------------------------------------------
@@ -312,7 +322,6 @@ def _changed_lines(spark: SparkSession, sf_dir: str, start, strategy: str) -> Da
     return changed_since(t["lineitem"], t["orders"], ("l_orderkey", "o_orderkey"), "l_shipdate",
                          "o_orderdate", start, strategy)
 
-    return stage(rows, mode="table", keys=["ClaimTransactionWCKey"]).df
 
 def changed_either_side_or(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _changed_lines(spark, sf_dir, START, "or")
