@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SMALL, plan_of, rows
 from tidemark.operators import apply_delta, shares, stage
-from tidemark.plans import registered
+from tidemark.plans import claims, registered
 from tidemark.session import scratch
 from tidemark.sources import KeyedSnapshots, Snapshots, upsert
 
@@ -88,3 +88,17 @@ def test_claims_in_shares(spark, large, name):
     assert "Exchange" not in plan_of(found) and {t.name for t in spark.catalog.listTables()} == before[1]
     shares._SHARE_BYTES = 1 << 40
     assert rows(found) == rows(registered.QUERIES[name](spark, SMALL))
+
+
+def test_claim_rows_in_shares_read_the_shares_of_their_transaction(spark, large):
+    tables = registered.claim_sources(spark, SMALL)
+    rules = claims.sample_rules()
+    job = claims.run_measures(tables, rules, None, "1900-01-01", registered.BATCH)
+    plan = plan_of(job.where(shares.share(["ClaimTransactionWCKey"], 3, 1))).split("== Physical Plan ==")[-1]
+    # Fact, transactions and descriptors; not the ranked states, which were written before.
+    assert plan.count("pmod(xxhash64(") >= 3 and plan.count("WindowGroupLimit") == 2
+    before = shuffle_files(spark)
+    found = registered.claim_measures_delta(spark, SMALL)
+    assert shuffle_files(spark) <= before
+    shares._SHARE_BYTES = 1 << 40
+    assert rows(found) == rows(registered.claim_measures_delta(spark, SMALL))
